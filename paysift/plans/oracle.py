@@ -308,7 +308,7 @@ def build() -> dict[str, str]:
         f"{money(money_c_signing(_w('signing_c', 'C', 'Signing_Bonus')))} as Signing_Bonus, "
         f"{money(money_c_annual(_w('annual_bonus_c', 'C', 'Annual_Bonus')))} as Annual_Bonus from raw"
     )
-    q["timestamp_parse"] = _with(("raw", RAW)) + f"select row_id, created_at, {ts('created_at')} as Created_At from raw"
+    q["timestamp_parse"] = _with(("raw", RAW)) + f"select row_id, created_at as created_text, {ts('created_at')} as Created_At from raw"
     q["range_split_dash"] = (
         f"select o_orderkey, {int_trunc(part('o_orderpriority', 0))} as priority_code, "
         f"{part('o_orderpriority', 1)} as priority_name from orders"

@@ -104,7 +104,9 @@ def q_money_clean(spark, sf_dir):
 def q_timestamp_parse(spark, sf_dir):
     """K1: survey timestamp text to a timestamp; bad text is NULL."""
     raw = raw_survey(spark, sf_dir)
-    return raw.select("row_id", "created_at", try_ts("created_at").cast("timestamp_ntz").alias("Created_At"))
+    return raw.select(
+        "row_id", F.col("created_at").alias("created_text"), try_ts("created_at").cast("timestamp_ntz").alias("Created_At")
+    )
 
 
 def q_range_split_dash(spark, sf_dir):
