@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysift.operators.forms import FormSpec
+from paysift.sources.partitioning import spread
 
 
 def _quoted(name: str) -> str:
@@ -46,8 +47,13 @@ def select_form(raw: DataFrame, spec: FormSpec) -> DataFrame:
     return raw.select(*form_columns(spec))
 
 
-def read_form(spark: SparkSession, path: str, spec: FormSpec, multi_line: bool = True) -> DataFrame:
-    return select_form(read_raw_csv(spark, path, multi_line), spec)
+def read_form(
+    spark: SparkSession, path: str, spec: FormSpec, multi_line: bool = True, spread_rows: bool = True
+) -> DataFrame:
+    """The form's columns as renamed strings. With ``spread_rows`` an input
+    of fewer files than cores is spread over the cores after the scan."""
+    form = select_form(read_raw_csv(spark, path, multi_line), spec)
+    return spread(form) if spread_rows else form
 
 
 def write_form_csv(df: DataFrame, path: str, spec: FormSpec, mode: str = "overwrite") -> None:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paysift.operators.forms import FORMS
+from paysift.sources.partitioning import spread
 
 RAW_SURVEY_SQL = """
 select
@@ -139,9 +140,10 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide derived table: ``row_id`` plus every raw answer column."""
+    orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     return spark.sql(
         RAW_SURVEY_SQL,
-        orders=load_table(spark, sf_dir, "orders"),
+        orders=spread(orders),
         customer=load_table(spark, sf_dir, "customer"),
         nation=load_table(spark, sf_dir, "nation"),
     )

@@ -1,0 +1,28 @@
+"""Spread row-local work over the cluster when a scan yields too few tasks.
+
+A multi-line CSV file, or a Parquet file with one row group, is read by one
+task; the cleaners then run on one core while the rest idle. ``spread``
+round-robins such an input over the cluster's cores right after the scan
+(only the selected columns cross the shuffle). When the scan already has at
+least that many partitions, as a large input on a cluster does, it returns
+the frame unchanged and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def target_parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext handle (e.g. a remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    want = min_partitions or target_parallelism(df)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
