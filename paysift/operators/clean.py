@@ -36,12 +36,25 @@ def prepare(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> DataFra
     return raw.select(*keep, *[trim_or_default(s.name, s.default).alias(s.name) for s in spec.sources])
 
 
-def reasons_of(rules: Iterable[Rule]) -> Column:
-    """Names of the failed rules, in rule order (empty array when none)."""
-    tests = [F.when(r.test(), F.lit(r.name)) for r in rules]
-    if not tests:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*tests))
+def _empty() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _named_if(test: Column, name: str) -> Column:
+    return F.when(test, F.array(F.lit(name))).otherwise(_empty())
+
+
+def reasons_of(tests: Iterable[tuple[str, Column]]) -> Column:
+    """Names of the failed tests, in order (empty array when none).
+
+    Built from ``concat``/``when``/``array`` only: unlike ``array_compact``
+    (a lambda function), these compile into whole-stage codegen, so the
+    tests stay in generated code with common subexpressions shared.
+    """
+    parts = [_named_if(test, name) for name, test in tests]
+    if not parts:
+        return _empty()
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def tag(
@@ -68,11 +81,10 @@ def tag(
             msg = F.concat(F.lit(f"cannot convert {f.name} to {f.kind}: "), text)
             value = F.when(failed, F.raise_error(msg)).otherwise(value)
         if on_cast_fail == "quarantine" and failed is not None:
-            fails.append(F.when(failed, F.lit(f"cast_{f.name}")))
+            fails.append((f"cast_{f.name}", failed))
         typed.append(value.alias(TYPED + f.name))
-    reasons = reasons_of([*spec.rules, *extra_rules])
-    if fails:
-        reasons = F.concat(reasons, F.array_compact(F.array(*fails)))
+    tests = [(r.name, r.test()) for r in [*spec.rules, *extra_rules]]
+    reasons = reasons_of([*tests, *fails])
     return prepared.select(*keep, *spec.names, *typed, reasons.alias(REASONS))
 
 
@@ -100,11 +112,17 @@ def clean(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = (), on_cast_fail
     return process_form(raw, spec, keep, on_cast_fail).good
 
 
-def reason_counts(rejected: DataFrame, form: str | None = None, first_only: bool = False) -> DataFrame:
+def reason_counts(tagged: DataFrame, form: str | None = None, first_only: bool = False) -> DataFrame:
     """Data-quality table: rows per reject reason (or per first reason, the
-    bucket a cascade of filters would have put the row in)."""
-    reason = F.get(F.col(REASONS), 0) if first_only else F.explode(REASONS)
-    out = rejected.select(reason.alias("reason"))
+    bucket a cascade of filters would have put the row in).
+
+    Takes a tagged or a rejected frame. ``explode_outer`` plus a filter on
+    its output keeps ``reasons`` computed once, in the projection (an inner
+    ``explode`` would add an inferred ``size(reasons) > 0`` filter that
+    Catalyst pushes below that projection, evaluating every test twice).
+    """
+    reason = F.get(F.col(REASONS), 0) if first_only else F.explode_outer(REASONS)
+    out = tagged.select(reason.alias("reason")).filter(F.col("reason").isNotNull())
     if form is not None:
         out = out.select(F.lit(form).alias("form"), "reason")
     keys = ["form", "reason"] if form is not None else ["reason"]

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from paysift.functions import cleaners as C
 from paysift.functions.casts import try_float, try_int_trunc, try_money, try_ts
 from paysift.functions.text import range_bounds, trim_or_default
-from paysift.operators.clean import REASONS, process_form, reason_counts, tag
+from paysift.operators.clean import REASONS, prepare, process_form, reason_counts, tag
 from paysift.operators.dictionary import standardise
-from paysift.operators.forms import FORM_A, FORM_B, FORM_C, FORMS, Rule
+from paysift.operators.forms import FORM_B, FORM_C, FORMS, Rule
 from paysift.operators.reports import (
     cash_vs_other,
     group_stats,
@@ -224,12 +224,15 @@ def q_form_c_rejected(spark, sf_dir):
     return _rejected_text(_result(spark, sf_dir, "C").rejected)
 
 
+def _tagged(spark, sf_dir, form: str, wide=None, on_cast_fail: str = "null", extra_rules=()) -> DataFrame:
+    spec = FORMS[form]
+    raw = raw_form(spark, sf_dir, form, wide)
+    return tag(prepare(raw, spec, KEEP), spec, KEEP, on_cast_fail, extra_rules)
+
+
 def _all_rejected(spark, sf_dir, first_only: bool) -> DataFrame:
     wide = raw_survey(spark, sf_dir)
-    parts = [
-        reason_counts(process_form(raw_form(spark, sf_dir, f, wide), FORMS[f]).rejected, f, first_only)
-        for f in "ABC"
-    ]
+    parts = [reason_counts(_tagged(spark, sf_dir, f, wide), f, first_only) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -254,7 +257,8 @@ def q_bonus_format_route(spark, sf_dir):
 def q_strict_cast_quarantine(spark, sf_dir):
     """With on_cast_fail='quarantine' a value that does not convert
     rejects its row; counts per reason over all three forms."""
-    parts = [reason_counts(_result(spark, sf_dir, f, "quarantine").rejected, f) for f in "ABC"]
+    wide = raw_survey(spark, sf_dir)
+    parts = [reason_counts(_tagged(spark, sf_dir, f, wide, "quarantine"), f) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -267,8 +271,7 @@ EXTRA_RULES_B = (
 
 def q_validation_rules(spark, sf_dir):
     """User rules appended to the form's own reject tests."""
-    res = process_form(raw_form(spark, sf_dir, "B"), FORM_B, KEEP, extra_rules=EXTRA_RULES_B)
-    return reason_counts(res.rejected, "B")
+    return reason_counts(_tagged(spark, sf_dir, "B", extra_rules=EXTRA_RULES_B), "B")
 
 
 # ---- union and the five reports over the derived survey ---------------------------------
