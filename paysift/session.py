@@ -23,10 +23,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Fall back from whole-stage codegen when a generated method would be
-        # too large for the JIT (8000 bytecodes); such a method would run in
-        # the bytecode interpreter. The cleaners make wide projections.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
