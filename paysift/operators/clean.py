@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paysift.functions.casts import to_kind
 from paysift.functions.text import trim_or_default
@@ -95,16 +96,49 @@ def route(tagged: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> CleanR
     return CleanResult(good=good, rejected=rejected)
 
 
+def land(tagged: DataFrame, path: str) -> None:
+    """Write a tagged form once, split by status (``status=good|rejected``)."""
+    status = F.when(F.size(REASONS) == 0, F.lit("good")).otherwise(F.lit("rejected"))
+    tagged.withColumn("status", status).write.mode("overwrite").partitionBy("status").parquet(path)
+
+
+def route_landed(
+    spark, path: str, spec: FormSpec, keep: Sequence[str] = (), schema: StructType | None = None
+) -> CleanResult:
+    """Good and rejected rows as partition-pruned reads of a landed form
+    (``schema``: the tagged schema, so an empty landing still reads)."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(StructType([*schema.fields, StructField("status", StringType())]))
+    landed = reader.parquet(path)
+    good = landed.filter(F.col("status") == "good")
+    rejected = landed.filter(F.col("status") == "rejected")
+    return CleanResult(
+        good=good.select(*keep, *[F.col(TYPED + n).alias(n) for n in spec.field_names]),
+        rejected=rejected.select(*keep, *spec.names, REASONS),
+    )
+
+
 def process_form(
     raw: DataFrame,
     spec: FormSpec,
     keep: Sequence[str] = (),
     on_cast_fail: str = "null",
     extra_rules: Sequence[Rule] = (),
+    land_to: str | None = None,
 ) -> CleanResult:
-    """Raw renamed strings -> CleanResult(good typed rows, rejected rows)."""
+    """Raw renamed strings -> CleanResult(good typed rows, rejected rows).
+
+    Lazily, ``good`` and ``rejected`` are two filters over one tagged
+    projection; reading both scans the input twice. With ``land_to`` (a
+    folder on shared storage) the tagged rows are written once and both
+    sides are partition-pruned reads of that table.
+    """
     tagged = tag(prepare(raw, spec, keep), spec, keep, on_cast_fail, extra_rules)
-    return route(tagged, spec, keep)
+    if land_to is None:
+        return route(tagged, spec, keep)
+    land(tagged, land_to)
+    return route_landed(raw.sparkSession, land_to, spec, keep, schema=tagged.schema)
 
 
 def clean(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = (), on_cast_fail: str = "null") -> DataFrame:

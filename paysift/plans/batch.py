@@ -16,9 +16,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from paysift.operators.clean import REASONS, TYPED, prepare, reason_counts, tag
+from paysift.operators.clean import process_form, reason_counts
 from paysift.operators.forms import FORMS, Rule
 from paysift.operators.reports import (
     ROLE_KEYWORDS,
@@ -30,7 +29,7 @@ from paysift.operators.reports import (
 )
 from paysift.operators.unify import unify
 from paysift.sources.csv_forms import read_form
-from paysift.sources.sinks import land_tagged, read_landed, write_audit, write_report
+from paysift.sources.sinks import write_audit, write_report
 
 REPORTS = ("role_compensation", "location_compensation", "cash_vs_other", "top_happy_industries",
            "top_hour_companies")
@@ -46,14 +45,6 @@ class BatchOutputs:
     reports: dict[str, str] = field(default_factory=dict)
 
 
-def good_rows(landed: DataFrame, form: str) -> DataFrame:
-    return landed.select(*[F.col(TYPED + n).alias(n) for n in FORMS[form].field_names])
-
-
-def rejected_rows(landed: DataFrame, form: str) -> DataFrame:
-    return landed.select(*FORMS[form].names, REASONS)
-
-
 def build_reports(unified: DataFrame, keywords=ROLE_KEYWORDS) -> dict[str, DataFrame]:
     return {
         "role_compensation": role_compensation(unified, keywords),
@@ -80,14 +71,12 @@ def run_batch(
     for form, path in inputs.items():
         spec = FORMS[form]
         raw = read_form(spark, path, spec, multi_line=multi_line)
-        tagged = tag(prepare(raw, spec), spec, on_cast_fail=on_cast_fail,
-                     extra_rules=(extra_rules or {}).get(form, ()))
         res.landed[form] = f"{out}/landed/form={form}"
-        land_tagged(tagged, res.landed[form])
-        goods[form] = good_rows(read_landed(spark, res.landed[form], "good"), form)
-        rejected = rejected_rows(read_landed(spark, res.landed[form], "rejected"), form)
+        result = process_form(raw, spec, on_cast_fail=on_cast_fail,
+                              extra_rules=(extra_rules or {}).get(form, ()), land_to=res.landed[form])
+        goods[form] = result.good
         res.audit[form] = f"{out}/audit/form={form}"
-        write_audit(rejected, res.audit[form])
+        write_audit(result.rejected, res.audit[form])
         quality.append(reason_counts(spark.read.parquet(res.audit[form]), form))
 
     res.quality = f"{out}/quality"
@@ -103,3 +92,29 @@ def run_batch(
         res.reports[name] = f"{out}/reports/{name}"
         write_report(df, res.reports[name], report_format, single_file=name in BOUNDED)
     return res
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit --py-files paysift.zip paysift/plans/batch.py --form-a PATH --form-b PATH --out DIR``
+    (or ``python -m paysift.plans.batch ...`` with a local session)."""
+    import argparse
+
+    parser = argparse.ArgumentParser(description="Clean survey forms and build the compensation reports.")
+    for f in "abc":
+        parser.add_argument(f"--form-{f}", help=f"CSV file or folder of form {f.upper()}")
+    parser.add_argument("--out", required=True, help="output folder on shared storage")
+    parser.add_argument("--on-cast-fail", default="null", choices=("null", "quarantine", "raise"))
+    parser.add_argument("--single-line", action="store_true", help="answers hold no line breaks (splittable scan)")
+    parser.add_argument("--report-format", default="csv")
+    args = parser.parse_args(argv)
+    inputs = {f.upper(): getattr(args, f"form_{f}") for f in "abc" if getattr(args, f"form_{f}")}
+    if not inputs:
+        parser.error("give at least one of --form-a, --form-b, --form-c")
+    spark = SparkSession.builder.appName("paysift-batch").getOrCreate()
+    res = run_batch(spark, inputs, args.out, on_cast_fail=args.on_cast_fail, multi_line=not args.single_line,
+                    report_format=args.report_format)
+    print(res)
+
+
+if __name__ == "__main__":
+    main()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysift.operators.clean import REASONS
+from paysift.operators.clean import land
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> None:
@@ -27,8 +27,7 @@ def write_audit(rejected: DataFrame, path: str) -> None:
 def land_tagged(tagged: DataFrame, path: str) -> None:
     """Write a tagged form once, split by status; later reads of either side
     are partition-pruned scans instead of a second pass over the raw input."""
-    status = F.when(F.size(REASONS) == 0, F.lit("good")).otherwise(F.lit("rejected"))
-    tagged.withColumn("status", status).write.mode("overwrite").partitionBy("status").parquet(path)
+    land(tagged, path)
 
 
 def read_landed(spark: SparkSession, path: str, status: str) -> DataFrame:

@@ -123,3 +123,17 @@ def test_mismatched_headers_in_a_directory_fail(spark, tmp_path):
 
     with pytest.raises(Exception):
         read_raw_csv(spark, str(d)).collect()
+
+
+def test_land_to_matches_lazy_routing(spark, tmp_path):
+    raw = read_form(spark, f"{HERE}/form_c.csv", FORM_C)
+    lazy = process_form(raw, FORM_C)
+    landed = process_form(raw, FORM_C, land_to=str(tmp_path / "landed"))
+    assert sorted(map(repr, landed.good.collect())) == sorted(map(repr, lazy.good.collect()))
+    assert sorted(map(repr, landed.rejected.collect())) == sorted(map(repr, lazy.rejected.collect()))
+
+
+def test_land_to_with_every_row_rejected(spark, tmp_path):
+    raw = read_form(spark, f"{HERE}/form_c.csv", FORM_C).filter(F.col("Annual_Bonus") == "10%")
+    res = process_form(raw, FORM_C, land_to=str(tmp_path / "landed"))
+    assert res.good.count() == 0 and res.rejected.count() == 1
