@@ -35,9 +35,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     cluster names one; otherwise (local runs, tests) creates a scratch folder
     and registers it as the checkpoint dir so later calls agree.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (e.g. a remote session)
+        sc = None
+    base = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="paysift-")
         sc.setCheckpointDir(base)
     path = base.rstrip("/")

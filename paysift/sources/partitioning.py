@@ -22,7 +22,10 @@ def target_parallelism(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Apply right after a scan (counting its partitions plans the scan only)."""
     want = min_partitions or target_parallelism(df)
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
