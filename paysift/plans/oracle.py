@@ -48,12 +48,17 @@ def ts(x: str) -> str:
     return f"case when regexp_full_match({x}, '{TS_RE}') then try_strptime({x}, '%m/%d/%Y %H:%M:%S') end"
 
 
+def _no_underscore(x: str, cast: str) -> str:
+    # DuckDB reads '1_0' as 10; Spark's number parsing never accepts '_'.
+    return f"(case when contains({x}, '_') then null else try_cast({x} as {cast}) end)"
+
+
 def money(x: str) -> str:
-    return f"try_cast({x} as decimal(38,2))"
+    return _no_underscore(x, "decimal(38,2)")
 
 
 def flt(x: str) -> str:
-    return f"try_cast({x} as float)"
+    return _no_underscore(x, "float")
 
 
 def int_trunc(x: str) -> str:
