@@ -8,8 +8,7 @@ once per rule, and ``reasons[0]`` names the first failed test in rule order.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +23,28 @@ TYPED = "typed__"
 CAST_FAIL_MODES = ("null", "quarantine", "raise")
 
 
-@dataclass(frozen=True)
 class CleanResult:
-    """Typed good rows and rejected rows (prepared text plus ``reasons``)."""
+    """Typed good rows and rejected rows (prepared text plus ``reasons``).
 
-    good: DataFrame
-    rejected: DataFrame
+    Each side is a DataFrame built on first access, so a caller that uses
+    one side does not pay for planning the other."""
+
+    def __init__(self, good: Callable[[], DataFrame], rejected: Callable[[], DataFrame]):
+        self._make = {"good": good, "rejected": rejected}
+        self._built: dict[str, DataFrame] = {}
+
+    def _side(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._make[name]()
+        return self._built[name]
+
+    @property
+    def good(self) -> DataFrame:
+        return self._side("good")
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self._side("rejected")
 
 
 def prepare(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> DataFrame:
@@ -90,10 +105,14 @@ def tag(
 
 
 def route(tagged: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> CleanResult:
-    ok = F.size(REASONS) == 0
-    good = tagged.filter(ok).select(*keep, *[F.col(TYPED + n).alias(n) for n in spec.field_names])
-    rejected = tagged.filter(~ok).select(*keep, *spec.names, REASONS)
-    return CleanResult(good=good, rejected=rejected)
+    def good() -> DataFrame:
+        ok = F.size(REASONS) == 0
+        return tagged.filter(ok).select(*keep, *[F.col(TYPED + n).alias(n) for n in spec.field_names])
+
+    def rejected() -> DataFrame:
+        return tagged.filter(F.size(REASONS) > 0).select(*keep, *spec.names, REASONS)
+
+    return CleanResult(good, rejected)
 
 
 def land(tagged: DataFrame, path: str) -> None:
@@ -111,12 +130,15 @@ def route_landed(
     if schema is not None:
         reader = reader.schema(StructType([*schema.fields, StructField("status", StringType())]))
     landed = reader.parquet(path)
-    good = landed.filter(F.col("status") == "good")
-    rejected = landed.filter(F.col("status") == "rejected")
-    return CleanResult(
-        good=good.select(*keep, *[F.col(TYPED + n).alias(n) for n in spec.field_names]),
-        rejected=rejected.select(*keep, *spec.names, REASONS),
-    )
+
+    def good() -> DataFrame:
+        rows = landed.filter(F.col("status") == "good")
+        return rows.select(*keep, *[F.col(TYPED + n).alias(n) for n in spec.field_names])
+
+    def rejected() -> DataFrame:
+        return landed.filter(F.col("status") == "rejected").select(*keep, *spec.names, REASONS)
+
+    return CleanResult(good, rejected)
 
 
 def process_form(
