@@ -11,9 +11,9 @@ text of ``paysift.sources.derived``.
 from __future__ import annotations
 
 from paysift.operators.forms import FORMS
-from paysift.sources.derived import FORM_COLUMNS, RAW_SURVEY_SQL
+from paysift.sources.derived import BASE_SQL, FORM_COLUMNS, RAW_SURVEY_SQL
 
-RAW = RAW_SURVEY_SQL.format(orders="orders", customer="customer", nation="nation")
+RAW = RAW_SURVEY_SQL.format(base="(" + BASE_SQL.format(orders="orders", customer="customer", nation="nation") + ")")
 
 
 def _lit(s: str | None) -> str:

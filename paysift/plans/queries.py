@@ -58,7 +58,7 @@ def _result(spark: SparkSession, sf_dir: str, form: str, on_cast_fail: str = "nu
 
 
 def _good_forms(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    wide = raw_survey(spark, sf_dir)
+    wide = raw_survey(spark, sf_dir, shared=True)
     return {f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f]).good for f in "ABC"}
 
 
@@ -231,7 +231,7 @@ def _tagged(spark, sf_dir, form: str, wide=None, on_cast_fail: str = "null", ext
 
 
 def _all_rejected(spark, sf_dir, first_only: bool) -> DataFrame:
-    wide = raw_survey(spark, sf_dir)
+    wide = raw_survey(spark, sf_dir, shared=True)
     parts = [reason_counts(_tagged(spark, sf_dir, f, wide), f, first_only) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -257,7 +257,7 @@ def q_bonus_format_route(spark, sf_dir):
 def q_strict_cast_quarantine(spark, sf_dir):
     """With on_cast_fail='quarantine' a value that does not convert
     rejects its row; counts per reason over all three forms."""
-    wide = raw_survey(spark, sf_dir)
+    wide = raw_survey(spark, sf_dir, shared=True)
     parts = [reason_counts(_tagged(spark, sf_dir, f, wide, "quarantine"), f) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -278,7 +278,7 @@ def q_validation_rules(spark, sf_dir):
 
 
 def q_unify_forms(spark, sf_dir):
-    wide = raw_survey(spark, sf_dir)
+    wide = raw_survey(spark, sf_dir, shared=True)
     good = {f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f], KEEP).good for f in "ABC"}
     return _ntz(unify(good, KEEP))
 
