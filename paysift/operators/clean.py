@@ -20,6 +20,7 @@ from paysift.operators.forms import FormSpec, Rule
 
 REASONS = "reasons"
 TYPED = "typed__"
+DEFAULTED = "Salary_Defaulted"
 CAST_FAIL_MODES = ("null", "quarantine", "raise")
 
 
@@ -47,9 +48,12 @@ class CleanResult:
         return self._side("rejected")
 
 
-def prepare(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Trim every source column and replace NULL by the form's default."""
-    return raw.select(*keep, *[trim_or_default(s.name, s.default).alias(s.name) for s in spec.sources])
+def prepare(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = (), flag_defaulted: bool = False) -> DataFrame:
+    """Trim every source column and replace NULL by the form's default.
+    ``flag_defaulted`` adds ``Salary_Defaulted``: the salary answer was
+    missing and now holds the default 0."""
+    flag = [F.col(spec.salary).isNull().alias(DEFAULTED)] if flag_defaulted else []
+    return raw.select(*keep, *flag, *[trim_or_default(s.name, s.default).alias(s.name) for s in spec.sources])
 
 
 def _empty() -> Column:
@@ -148,15 +152,19 @@ def process_form(
     on_cast_fail: str = "null",
     extra_rules: Sequence[Rule] = (),
     land_to: str | None = None,
+    flag_defaulted: bool = False,
 ) -> CleanResult:
     """Raw renamed strings -> CleanResult(good typed rows, rejected rows).
 
     Lazily, ``good`` and ``rejected`` are two filters over one tagged
     projection; reading both scans the input twice. With ``land_to`` (a
     folder on shared storage) the tagged rows are written once and both
-    sides are partition-pruned reads of that table.
+    sides are partition-pruned reads of that table. ``flag_defaulted`` carries
+    a ``Salary_Defaulted`` column through to both sides.
     """
-    tagged = tag(prepare(raw, spec, keep), spec, keep, on_cast_fail, extra_rules)
+    prepared = prepare(raw, spec, keep, flag_defaulted)
+    keep = [*keep, DEFAULTED] if flag_defaulted else keep
+    tagged = tag(prepared, spec, keep, on_cast_fail, extra_rules)
     if land_to is None:
         return route(tagged, spec, keep)
     land(tagged, land_to)

@@ -46,6 +46,7 @@ class FormSpec:
     sources: tuple[Source, ...]
     rules: tuple[Rule, ...]
     fields: tuple[Field, ...]
+    salary: str = ""  # the source column holding the salary answer
 
     @property
     def names(self) -> list[str]:
@@ -107,6 +108,7 @@ FORM_A = FormSpec(
         Field("Min_Exp", "float", _lo(lambda: C.experience_a("Work_Experience"))),
         Field("Max_Exp", "float", _hi(lambda: C.experience_a("Work_Experience"))),
     ),
+    salary="Annual_Salary",
 )
 
 # Fixed values, form B: (CSV header, name, NULL default) in header order.
@@ -152,6 +154,7 @@ FORM_B = FormSpec(
         Field("Min_Actual_Hours_Per_Week", "int", _lo(lambda: C.range_plus("Actual_Hours_Per_Week"))),
         Field("Max_Actual_Hours_Per_Week", "int", _hi(lambda: C.range_plus("Actual_Hours_Per_Week"))),
     ),
+    salary="Base_Salary_2018",
 )
 
 # Fixed values, form C: (CSV header, name, NULL default) in header order.
@@ -185,6 +188,7 @@ FORM_C = FormSpec(
         Field("Annual_Bonus", "money", lambda: C.money_c_annual("Annual_Bonus")),
         Field("Gender", "string", lambda: C.gender_c("Gender")),
     ),
+    salary="Annual_Base_Salary",
 )
 
 FORMS = {"A": FORM_A, "B": FORM_B, "C": FORM_C}

@@ -56,15 +56,23 @@ def top_k(df: DataFrame, key: str, metric: Column, out: str, k: int, where: Colu
 # ---- the survey reports over the unified table -------------------------------------------
 
 
-def role_compensation(unified: DataFrame, keywords: Sequence[str] = ROLE_KEYWORDS) -> DataFrame:
+def _answered(unified: DataFrame, exclude_defaulted: bool) -> DataFrame:
+    """Leave out salaries that were missing and defaulted to 0 (needs the
+    ``Salary_Defaulted`` flag from ``process_form(..., flag_defaulted=True)``)."""
+    return unified.filter(~F.col("Salary_Defaulted")) if exclude_defaulted else unified
+
+
+def role_compensation(
+    unified: DataFrame, keywords: Sequence[str] = ROLE_KEYWORDS, exclude_defaulted: bool = False
+) -> DataFrame:
     """Average salary per job title, for titles naming a tech role."""
-    return keyword_average(unified, "Job_Title", "Salary", keywords, "Compensation")
+    return keyword_average(_answered(unified, exclude_defaulted), "Job_Title", "Salary", keywords, "Compensation")
 
 
-def location_compensation(unified: DataFrame) -> DataFrame:
+def location_compensation(unified: DataFrame, exclude_defaulted: bool = False) -> DataFrame:
     """R2: average, minimum and maximum salary per location."""
     names = ("Average_Compensation", "Min_Compensation", "Max_Compensation")
-    return group_stats(unified, "Location", "Salary", names)
+    return group_stats(_answered(unified, exclude_defaulted), "Location", "Salary", names)
 
 
 def cash_vs_other(unified: DataFrame) -> DataFrame:

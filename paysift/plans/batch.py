@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paysift.operators.clean import process_form, reason_counts
+from paysift.operators.clean import DEFAULTED, process_form, reason_counts
 from paysift.operators.forms import FORMS, Rule
 from paysift.operators.reports import (
     ROLE_KEYWORDS,
@@ -27,7 +27,7 @@ from paysift.operators.reports import (
     top_happy_industries,
     top_hour_companies,
 )
-from paysift.operators.unify import unify
+from paysift.operators.unify import UNIFIED_COLUMNS, unify
 from paysift.sources.csv_forms import read_form
 from paysift.sources.sinks import write_audit, write_report
 
@@ -45,10 +45,10 @@ class BatchOutputs:
     reports: dict[str, str] = field(default_factory=dict)
 
 
-def build_reports(unified: DataFrame, keywords=ROLE_KEYWORDS) -> dict[str, DataFrame]:
+def build_reports(unified: DataFrame, keywords=ROLE_KEYWORDS, exclude_defaulted: bool = False) -> dict[str, DataFrame]:
     return {
-        "role_compensation": role_compensation(unified, keywords),
-        "location_compensation": location_compensation(unified),
+        "role_compensation": role_compensation(unified, keywords, exclude_defaulted),
+        "location_compensation": location_compensation(unified, exclude_defaulted),
         "cash_vs_other": cash_vs_other(unified),
         "top_happy_industries": top_happy_industries(unified),
         "top_hour_companies": top_hour_companies(unified),
@@ -63,8 +63,12 @@ def run_batch(
     extra_rules: dict[str, list[Rule]] | None = None,
     multi_line: bool = True,
     report_format: str = "csv",
+    exclude_defaulted: bool = False,
 ) -> BatchOutputs:
-    """``inputs`` maps a form name (A, B, C) to a CSV file or directory."""
+    """``inputs`` maps a form name (A, B, C) to a CSV file or directory.
+    ``exclude_defaulted``: R1 and R2 leave out salaries that were missing
+    (by default they count as 0); the unified table then carries the
+    ``Salary_Defaulted`` flag after its 17 columns."""
     out = out.rstrip("/")
     res = BatchOutputs()
     goods, quality = {}, []
@@ -72,8 +76,8 @@ def run_batch(
         spec = FORMS[form]
         raw = read_form(spark, path, spec, multi_line=multi_line)
         res.landed[form] = f"{out}/landed/form={form}"
-        result = process_form(raw, spec, on_cast_fail=on_cast_fail,
-                              extra_rules=(extra_rules or {}).get(form, ()), land_to=res.landed[form])
+        result = process_form(raw, spec, on_cast_fail=on_cast_fail, extra_rules=(extra_rules or {}).get(form, ()),
+                              land_to=res.landed[form], flag_defaulted=exclude_defaulted)
         goods[form] = result.good
         res.audit[form] = f"{out}/audit/form={form}"
         write_audit(result.rejected, res.audit[form])
@@ -86,9 +90,11 @@ def run_batch(
     write_report(q, res.quality, report_format, single_file=True)
 
     res.unified = f"{out}/unified"
-    unify(goods).write.mode("overwrite").parquet(res.unified)
+    flags = [DEFAULTED] if exclude_defaulted else []
+    unified_rows = unify(goods, keep=flags)
+    unified_rows.select(*UNIFIED_COLUMNS, *flags).write.mode("overwrite").parquet(res.unified)
     unified = spark.read.parquet(res.unified)
-    for name, df in build_reports(unified).items():
+    for name, df in build_reports(unified, exclude_defaulted=exclude_defaulted).items():
         res.reports[name] = f"{out}/reports/{name}"
         write_report(df, res.reports[name], report_format, single_file=name in BOUNDED)
     return res
@@ -106,13 +112,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--on-cast-fail", default="null", choices=("null", "quarantine", "raise"))
     parser.add_argument("--single-line", action="store_true", help="answers hold no line breaks (splittable scan)")
     parser.add_argument("--report-format", default="csv")
+    parser.add_argument("--exclude-defaulted", action="store_true", help="R1/R2 leave out missing salaries")
     args = parser.parse_args(argv)
     inputs = {f.upper(): getattr(args, f"form_{f}") for f in "abc" if getattr(args, f"form_{f}")}
     if not inputs:
         parser.error("give at least one of --form-a, --form-b, --form-c")
     spark = SparkSession.builder.appName("paysift-batch").getOrCreate()
     res = run_batch(spark, inputs, args.out, on_cast_fail=args.on_cast_fail, multi_line=not args.single_line,
-                    report_format=args.report_format)
+                    report_format=args.report_format, exclude_defaulted=args.exclude_defaulted)
     print(res)
 
 

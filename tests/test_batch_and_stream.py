@@ -42,3 +42,12 @@ def test_stream_matches_batch(spark, tmp_path):
     assert good.distinct().exceptAll(batch).count() == 0
     rejected = read_stream_output(spark, str(tmp_path / "out"), FORM_B, "rejected")
     assert rejected.filter(F.size("reasons") > 0).count() == 4
+
+
+def test_run_batch_exclude_defaulted(spark, tmp_path):
+    inputs = {f: f"{HERE}/form_{f.lower()}.csv" for f in "ABC"}
+    out = run_batch(spark, inputs, str(tmp_path / "out"), report_format="parquet", exclude_defaulted=True)
+    unified = spark.read.parquet(out.unified)
+    assert unified.columns[-1] == "Salary_Defaulted" and unified.count() == 13
+    loc = {r["Location"]: r for r in spark.read.parquet(out.reports["location_compensation"]).collect()}
+    assert str(loc[""]["Min_Compensation"]) == "60000.00"

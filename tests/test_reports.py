@@ -59,3 +59,19 @@ def test_r4_ties_break_on_key(unified):
 def test_r5_blank_companies_out_and_c_rows_zero(unified):
     assert [tuple(r) for r in top_hour_companies(unified).collect()] == [
         ("ACME", 70.0), ("HOOLI", 70.0), ("GLOBEX", 60.0), ("INITECH", 0.0)]
+
+
+def test_r2_can_leave_out_defaulted_salaries(spark):
+    from paysift.operators.clean import DEFAULTED
+
+    goods = {
+        f: process_form(read_form(spark, f"{HERE}/form_{f.lower()}.csv", FORMS[f]), FORMS[f], flag_defaulted=True).good
+        for f in "ABC"
+    }
+    flagged = unify(goods, keep=[DEFAULTED])
+    assert flagged.filter(DEFAULTED).count() == 1  # form A's short row had no salary
+    kept = {r["Location"]: tuple(r)[1:] for r in location_compensation(flagged).collect()}
+    assert kept[""] == (D("30000.00"), D("0.00"), D("60000.00"))  # default: the 0 counts
+    got = {r["Location"]: tuple(r)[1:] for r in location_compensation(flagged, exclude_defaulted=True).collect()}
+    assert got[""] == (D("60000.00"), D("60000.00"), D("60000.00"))
+    assert role_compensation(flagged, exclude_defaulted=True).count() == role_compensation(flagged).count()
