@@ -20,10 +20,11 @@ def _lit(s: str | None) -> str:
     return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
 
 
-def _prepared_select(form: str, source: str = "raw", null_blank: bool = False) -> str:
-    """Trim + NULL default per column (optionally '' read back as NULL first)."""
+def _prepared_select(form: str, source: str = "raw", null_blank: bool = False, flag: bool = False) -> str:
+    """Trim + NULL default per column (optionally '' read back as NULL first;
+    with ``flag``, ``Salary_Defaulted`` marks a missing salary answer)."""
     defaults = {s.name: s.default for s in FORMS[form].sources}
-    cols = []
+    cols = [f"({FORM_COLUMNS[form][FORMS[form].salary]} is null) as Salary_Defaulted"] if flag else []
     for dst, src in FORM_COLUMNS[form].items():
         x = f"nullif({src}, '')" if null_blank else src
         cols.append(f"coalesce(trim({x}), {_lit(defaults[dst])}) as {dst}")
@@ -216,9 +217,9 @@ def _reasons(form: str, extra: list[tuple[str, str]] = ()) -> str:
     return f"concat_ws(',', {', '.join(parts)})"
 
 
-def _clean_sql(form: str, source: str | None = None) -> str:
+def _clean_sql(form: str, source: str | None = None, extra: str = "") -> str:
     src = source or f"p{form.lower()}"
-    return f"select row_id, {_typed(form)} from {src} where {_good_pred(form)}"
+    return f"select row_id, {extra}{_typed(form)} from {src} where {_good_pred(form)}"
 
 
 def _rejected_sql(form: str) -> str:
@@ -277,12 +278,13 @@ _UNIFIED = {
 }
 
 
-def _unified_base() -> str:
+def _unified_base(flag: bool = False) -> str:
+    extra = "Salary_Defaulted, " if flag else ""
     return _with(
         ("raw", RAW),
-        *[(f"p{f.lower()}", _prepared_select(f)) for f in "ABC"],
-        *[(f"g{f.lower()}", _clean_sql(f)) for f in "ABC"],
-        ("unified", " union all ".join(f"select row_id, {_UNIFIED[f]} from g{f.lower()}" for f in "ABC")),
+        *[(f"p{f.lower()}", _prepared_select(f, flag=flag)) for f in "ABC"],
+        *[(f"g{f.lower()}", _clean_sql(f, extra=extra)) for f in "ABC"],
+        ("unified", " union all ".join(f"select row_id, {extra}{_UNIFIED[f]} from g{f.lower()}" for f in "ABC")),
     )
 
 
@@ -378,6 +380,10 @@ def build() -> dict[str, str]:
         f"select Location, {avg2('Salary')} as Average_Compensation, min(Salary) as Min_Compensation, "
         "max(Salary) as Max_Compensation from unified group by Location"
     )
+    q["report_location_answered"] = _unified_base(flag=True) + (
+        f"select Location, {avg2('Salary')} as Average_Compensation, min(Salary) as Min_Compensation, "
+        "max(Salary) as Max_Compensation from unified where not Salary_Defaulted group by Location"
+    )
     q["report_cash"] = uni + "select Salary as Cash_Compensation, Bonus as Other_Forms_Of_Compensation from unified"
     q["report_happy"] = uni + (
         "select Industry, count(Happy_With_Job) as happy_counts from unified where Happy_With_Job = 'YES' "

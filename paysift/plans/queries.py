@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paysift.functions import cleaners as C
 from paysift.functions.casts import try_float, try_int_trunc, try_money, try_ts
 from paysift.functions.text import range_bounds, trim_or_default
-from paysift.operators.clean import REASONS, prepare, process_form, reason_counts, tag
+from paysift.operators.clean import DEFAULTED, REASONS, prepare, process_form, reason_counts, tag
 from paysift.operators.dictionary import standardise
 from paysift.operators.forms import FORM_B, FORM_C, FORMS, Rule
 from paysift.operators.reports import (
@@ -293,6 +293,16 @@ def q_report_location(spark, sf_dir):
     return r.withColumn("Average_Compensation", F.col("Average_Compensation").cast("double"))
 
 
+def q_report_location_answered(spark, sf_dir):
+    """R2 with D14's option: salaries that were missing (defaulted to 0) left out."""
+    wide = raw_survey(spark, sf_dir, shared=True)
+    good = {
+        f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f], flag_defaulted=True).good for f in "ABC"
+    }
+    r = location_compensation(unify(good, keep=[DEFAULTED]), exclude_defaulted=True)
+    return r.withColumn("Average_Compensation", F.col("Average_Compensation").cast("double"))
+
+
 def q_report_cash(spark, sf_dir):
     return cash_vs_other(_unified(spark, sf_dir))
 
@@ -425,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "unify_forms": q_unify_forms,
     "report_role": q_report_role,
     "report_location": q_report_location,
+    "report_location_answered": q_report_location_answered,
     "report_cash": q_report_cash,
     "report_happy": q_report_happy,
     "report_hours": q_report_hours,
