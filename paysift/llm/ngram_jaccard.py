@@ -234,6 +234,8 @@ def _children(x, y, one: CountTree, two: CountTree, k: int):
 
 def _cell_pairs(sid, label, n, chunk, counts, one, two, percent):
     first, second = np.flatnonzero(chunk == one), np.flatnonzero(chunk == two)
+    if not len(first) or not len(second):  # a chunk may be empty
+        return first, first
     tree = lambda i: CountTree(counts[i], n[i], label[i])
     left = tree(first)
     a, b = left.pairs(left if one == two else tree(second), percent)

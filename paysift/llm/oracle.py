@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from paysift.llm.licenses import NOT_WORDS, PERCENT, TEMPLATES, UNIT_ENDS
 from paysift.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, MAX_EPOCHS, SEED
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -80,8 +81,33 @@ select dw.doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0) n_hit, coalesce(n_
 from dw left join hit using (doc_id) left join items using (doc_id)
 """
 
+
+def _license_sql() -> str:
+    def lower(c: str) -> str:
+        return f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def grams(source: str, keys: str) -> str:
+        return f"""select {keys}, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) g
+          from (select *, string_split(trim(regexp_replace({lower('notice')}, '{NOT_WORDS}', ' ', 'g')), ' ') w from {source})"""
+
+    known = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES)
+    lines = f"string_split(regexp_replace(text, '{UNIT_ENDS}', '\\1' || chr(10), 'g'), chr(10))"
+    return f"""
+with templates(name, notice) as (values {known}),
+tg as (select name, g, len(g) b from ({grams('templates', 'name')})),
+lines as (select doc_id, {lines} l from documents),
+units as (select doc_id, i - 1 unit, l[i] notice from (select doc_id, l, unnest(range(1, len(l) + 1)) i from lines)),
+ug as (select *, len(g) a from ({grams('units', 'doc_id, unit, notice')}) where len(g) > 0),
+met as (select doc_id, unit, notice, name, a, b, len(list_intersect(ug.g, tg.g)) i from ug, tg where 200 * least(a, b) >= {PERCENT} * (a + b)),
+ranked as (select *, 2.0::double * i / (a + b) dice from met where 200 * i >= {PERCENT} * (a + b))
+select doc_id, unit::int unit, name as template, a::int n_bigrams, dice, notice from ranked
+qualify row_number() over (partition by doc_id, unit order by dice desc, name) = 1
+"""
+
+
 ORACLE_SQL = {
     "op1_source_mix": _mix_sql(),
+    "op4_licenses": _license_sql(),
     "op6_ngram_jaccard": _JACCARD,
     "op7_exact_dedup": _EXACT,
     "op10_decontaminate": _CONTAMINATION,

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from paysift.llm.decontaminate import find_contamination
 from paysift.llm.exact_dedup import exact_dedup
+from paysift.llm.html_text import extract_text
 from paysift.llm.language_id import identify
+from paysift.llm.licenses import scan_licenses
 from paysift.llm.mixing import mix
 from paysift.llm.ngram_jaccard import jaccard_components
+from paysift.llm.secrets import scan_secrets
+from paysift.llm.sentence_dedup import remove_repeated_sentences
+from paysift.llm.suffix_dedup import remove_repeats
 
 #: Target weights of the registered mix: domains by number, languages by name; sources of a language weigh the same.
 DOMAIN_WEIGHTS = {"0": 4, "1": 3, "2": 2, "3": 1}
@@ -45,6 +50,18 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), mix_levels(), None, MAX_EPOCHS, SEED)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
@@ -57,16 +74,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
+def op9_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_sentences(read(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.drop("spans")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op5_language_id, op6_ngram_jaccard, op7_exact_dedup, op10_decontaminate)
-}
-
-
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline.py`` over ``documents``."""
     import corpus_pipeline
@@ -74,4 +94,19 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES["pipeline"] = pipeline
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_source_mix,
+        op2_secrets,
+        op3_html_text,
+        op4_licenses,
+        op5_language_id,
+        op6_ngram_jaccard,
+        op7_exact_dedup,
+        op8_suffix_dedup,
+        op9_sentence_dedup,
+        op10_decontaminate,
+        pipeline,
+    )
+}
