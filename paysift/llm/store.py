@@ -49,5 +49,18 @@ def table(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     jvm.System.gc()
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(schema).parquet(path)
+    _files(spark, folder).deleteOnExit(folder)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete what :func:`table` wrote for ``df``. Only for tables whose readers have all been written themselves."""
+    spark = df.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    _files(spark, folder).delete(folder, True)
+
+
+def _files(spark: SparkSession, folder):
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
