@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paysift.llm import bytesx
-from paysift.llm.store import table
+from paysift.llm.store import drop, table
 
 WINDOW = 200
 GRAM = 50
@@ -338,9 +338,10 @@ def _with_bytes(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """(doc_id, th, start, end): byte spans of ``docs`` (doc_id, th, text) whose windows are all repeated; they may overlap."""
-    rows = table(_anchor_rows(docs))
-    grams = rows.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
-    rows = table(rows.join(grams, "gram"))
+    every = table(_anchor_rows(docs))
+    grams = every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    rows = table(every.join(grams, "gram"))
+    drop(every)
     contexts = rows.groupBy("gram", "context").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "first", "before", "after")).alias("one"))
     contexts = table(contexts)
     whole = rows.join(contexts.where("c > 1").select("gram", "context"), ["gram", "context"], "left_semi")
