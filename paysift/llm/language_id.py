@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 LONGEST = 5
 #: Bounds of the model: training rows (as expected from a hash sample), words and n-grams of each length per language.
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 4_000, 50_000, 20_000
-CACHE_WORDS = 400_000
+SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 2_000, 10_000, 5_000
+CACHE_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
