@@ -13,8 +13,10 @@ from paysift.functions.text import ColumnOrName, col_of
 TS_FORMAT = "M/d/yyyy H:mm:ss"
 MONEY = DecimalType(38, 2)
 
-# An integer with an optional fraction that is dropped (legacy truncating cast).
-_INT_TEXT = r"^ *([+-]?[0-9]+)(\.[0-9]*)? *$"
+# An integer with an optional fraction that is dropped (legacy truncating cast);
+# without digits before the point it is 0.
+_INT_TEXT = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
+_FRACTION_TEXT = r"^\s*[+-]?\.[0-9]*\s*$"
 
 
 def try_ts(c: ColumnOrName) -> Column:
@@ -33,7 +35,8 @@ def try_float(c: ColumnOrName) -> Column:
 def try_int_trunc(c: ColumnOrName) -> Column:
     """String to int that truncates a fraction (``2.5`` -> 2) like a non-ANSI
     cast did; anything else that is not an integer gives NULL."""
-    return F.regexp_extract(col_of(c), _INT_TEXT, 1).try_cast(IntegerType())
+    whole = F.regexp_extract(col_of(c), _INT_TEXT, 1).try_cast(IntegerType())
+    return F.when(col_of(c).rlike(_FRACTION_TEXT), F.lit(0)).otherwise(whole)
 
 
 _KINDS = {

@@ -95,11 +95,12 @@ def gender_c(c: ColumnOrName) -> Column:
 
 def experience_c(c: ColumnOrName) -> Column:
     """Form C experience to one number as text: ``<`` and ``+`` dropped, the
-    text before the first space kept, and a range keeps its upper bound.
-    ``< 1`` -> 1, ``10+ years`` -> 10, ``5-10`` -> 10, ``-2`` -> 2."""
+    text before the first space kept, and a range keeps its upper bound. A dash
+    that is not between numbers ends or opens the number.
+    ``< 1`` -> 1, ``10+ years`` -> 10, ``5-10`` -> 10, ``-2`` -> 2, ``3-`` -> 3, ``7 - I think`` -> 7."""
     bare = F.trim(delete_chars(c, "<+"))
-    joined = F.regexp_replace(bare, " *- *", "-")
-    return after_last(before(joined, " "), "-")
+    joined = F.regexp_replace(bare, r"([0-9.]) *- *(?=[0-9.])", "$1-")
+    return after_last(F.btrim(before(joined, " "), F.lit("-")), "-")
 
 
 def location_c(c: ColumnOrName) -> Column:

@@ -9,6 +9,8 @@ once per rule, and ``reasons[0]`` names the first failed test in rule order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,22 +90,26 @@ def tag(
 
     ``on_cast_fail``: ``null`` keeps a value that does not convert as NULL;
     ``quarantine`` rejects the row with reason ``cast_<field>``; ``raise``
-    fails the job naming the field and the text.
+    fails the job naming the field and the text. Both act only on rows that no
+    rule rejects, so one defect has one reason and a quarantined row never
+    fails the job; fields whose text may be open (``65 or over``) are left out.
     """
     if on_cast_fail not in CAST_FAIL_MODES:
         raise ValueError(f"on_cast_fail must be one of {CAST_FAIL_MODES}")
     typed, fails = [], []
+    tests = [(r.name, r.test()) for r in [*spec.rules, *extra_rules]]
+    passes = ~reduce(or_, [F.coalesce(t, F.lit(False)) for _, t in tests], F.lit(False))
     for f in spec.fields:
         text = f.text()
         value = to_kind(text, f.kind)
-        failed = text.isNotNull() & value.isNull() if f.kind != "string" else None
+        strict = f.kind != "string" and not f.may_be_open
+        failed = passes & text.isNotNull() & value.isNull() if strict else None
         if on_cast_fail == "raise" and failed is not None:
             msg = F.concat(F.lit(f"cannot convert {f.name} to {f.kind}: "), text)
             value = F.when(failed, F.raise_error(msg)).otherwise(value)
         if on_cast_fail == "quarantine" and failed is not None:
             fails.append((f"cast_{f.name}", failed))
         typed.append(value.alias(TYPED + f.name))
-    tests = [(r.name, r.test()) for r in [*spec.rules, *extra_rules]]
     reasons = reasons_of([*tests, *fails])
     return prepared.select(*keep, *spec.names, *typed, reasons.alias(REASONS))
 
@@ -119,10 +125,19 @@ def route(tagged: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> CleanR
     return CleanResult(good, rejected)
 
 
-def land(tagged: DataFrame, path: str) -> None:
-    """Write a tagged form once, split by status (``status=good|rejected``)."""
-    status = F.when(F.size(REASONS) == 0, F.lit("good")).otherwise(F.lit("rejected"))
-    tagged.withColumn("status", status).write.mode("overwrite").partitionBy("status").parquet(path)
+def land(tagged: DataFrame, path: str, text_columns: Sequence[str] | None = None) -> None:
+    """Write a tagged form once, split by status (``status=good|rejected``).
+
+    Each row keeps the half that its status needs: typed values if good, the
+    prepared text if rejected. The whole landing is replaced, whatever the
+    session's partition overwrite mode.
+    """
+    good = F.size(REASONS) == 0
+    landed = [c for c in tagged.columns if c.startswith(TYPED)]
+    text = [c for c in (text_columns or ()) if c in tagged.columns]
+    halves = {c: F.when(good, F.col(c)) for c in landed} | {c: F.when(~good, F.col(c)) for c in text}
+    out = tagged.select(*[halves.get(c, F.col(c)).alias(c) for c in tagged.columns], F.when(good, "good").otherwise("rejected").alias("status"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").parquet(path)
 
 
 def route_landed(
@@ -167,7 +182,7 @@ def process_form(
     tagged = tag(prepared, spec, keep, on_cast_fail, extra_rules)
     if land_to is None:
         return route(tagged, spec, keep)
-    land(tagged, land_to)
+    land(tagged, land_to, spec.names)
     return route_landed(raw.sparkSession, land_to, spec, keep, schema=tagged.schema)
 
 

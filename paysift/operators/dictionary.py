@@ -1,11 +1,10 @@
 """Data dictionary standardisation (X3): map raw values to agreed ones.
 
 The dictionary is reduced to one value per key first (a deterministic pick,
-so a duplicated key cannot multiply rows). It is broadcast only when one
-bounded pass (it reads at most ``max_broadcast_rows + 1`` entries) shows at
-most that many entries and at most ``max_broadcast_bytes`` of text; beyond
-that the join is a plain shuffle join, where AQE's skew handling splits a hot
-key.
+so a duplicated key cannot multiply rows). How it is joined is left to Spark:
+AQE broadcasts it when its measured size is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits a hot key of a
+shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -13,17 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and its values, as text,
-    at most ``max_bytes``; reads at most ``max_rows + 1`` rows."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
-
 
 def standardise(
     df: DataFrame,
@@ -32,15 +20,11 @@ def standardise(
     key: str,
     value: str,
     out: str | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Left-join ``df.on`` to ``dictionary.key``; ``out`` takes the dictionary
     value, or the original value (as text of the same type) when no key matches."""
     std = "__std_value"
     d = dictionary.groupBy(F.col(key).alias("__std_key")).agg(F.min(value).alias(std))
-    if fits_broadcast(d, max_broadcast_rows, max_broadcast_bytes):
-        d = F.broadcast(d)
     value_type = dictionary.schema[value].dataType
     joined = df.join(d, df[on] == d["__std_key"], "left")
     keep = [df[c] for c in df.columns if c != (out or on)]

@@ -38,6 +38,7 @@ class Field:
     name: str
     kind: str  # timestamp | money | int | float | string
     text: Callable[[], Column]
+    may_be_open: bool = False  # text such as "65 or over" is no number, and no defect
 
 
 @dataclass(frozen=True)
@@ -103,8 +104,8 @@ FORM_A = FormSpec(
         Field("Job_Title", "string", _upper("Job_Title")),
         Field("Annual_Salary", "money", lambda: C.money_a("Annual_Salary")),
         Field("Location", "string", lambda: C.location_a("Location")),
-        Field("Min_Age", "int", _lo(lambda: range_bounds("Age_Range", fill_upper=False))),
-        Field("Max_Age", "int", _hi(lambda: range_bounds("Age_Range", fill_upper=False))),
+        Field("Min_Age", "int", _lo(lambda: range_bounds("Age_Range", fill_upper=False)), may_be_open=True),
+        Field("Max_Age", "int", _hi(lambda: range_bounds("Age_Range", fill_upper=False)), may_be_open=True),
         Field("Min_Exp", "float", _lo(lambda: C.experience_a("Work_Experience"))),
         Field("Max_Exp", "float", _hi(lambda: C.experience_a("Work_Experience"))),
     ),

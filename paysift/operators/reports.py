@@ -33,14 +33,14 @@ def contains_any(c: ColumnOrName, keywords: Sequence[str]) -> Column:
 
 def keyword_average(df: DataFrame, key: str, value: str, keywords: Sequence[str], out: str) -> DataFrame:
     """Rows whose ``key`` holds any keyword; mean of ``value`` per key, 2 places."""
-    return df.filter(contains_any(key, keywords)).groupBy(key).agg(F.round(F.avg(value), 2).alias(out))
+    return df.filter(contains_any(key, keywords)).groupBy(key).agg(F.round(F.try_avg(value), 2).alias(out))
 
 
 def group_stats(df: DataFrame, key: str, value: str, names: tuple[str, str, str]) -> DataFrame:
     """Mean, min and max of ``value`` per ``key``, each rounded to 2 places."""
     avg_name, min_name, max_name = names
     return df.groupBy(key).agg(
-        F.round(F.avg(value), 2).alias(avg_name),
+        F.round(F.try_avg(value), 2).alias(avg_name),
         F.round(F.min(value), 2).alias(min_name),
         F.round(F.max(value), 2).alias(max_name),
     )

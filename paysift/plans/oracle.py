@@ -42,7 +42,7 @@ def _base(forms: str = "ABC", null_blank: bool = False) -> str:
 # ---- scalar pieces -----------------------------------------------------------------------
 
 TS_RE = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2}"
-INT_RE = "^ *([+-]?[0-9]+)(\\.[0-9]*)? *$"
+INT_RE = "^\\s*([+-]?[0-9]+)(\\.[0-9]*)?\\s*$"
 
 
 def ts(x: str) -> str:
@@ -63,7 +63,8 @@ def flt(x: str) -> str:
 
 
 def int_trunc(x: str) -> str:
-    return f"try_cast(regexp_extract({x}, '{INT_RE}', 1) as integer)"
+    whole = f"try_cast(regexp_extract({x}, '{INT_RE}', 1) as integer)"
+    return f"(case when regexp_matches({x}, '^\\s*[+-]?\\.[0-9]*\\s*$') then 0 else {whole} end)"
 
 
 def part(x: str, i: int) -> str:
@@ -126,8 +127,12 @@ def gender_c(x: str) -> str:
 
 
 def exp_c(x: str) -> str:
-    joined = f"regexp_replace(trim(translate({x}, '<+', '')), ' *- *', '-', 'g')"
-    return f"split_part(split_part({joined}, ' ', 1), '-', -1)"
+    # step by step: drop < and +, join numbers around a dash (twice: matches don't overlap),
+    # keep the first word, drop dashes at its ends, keep what follows the last dash
+    joined = f"trim(translate({x}, '<+', ''))"
+    for _ in range(2):
+        joined = f"regexp_replace({joined}, '([0-9.]) *- *([0-9.])', '\\1-\\2', 'g')"
+    return f"split_part(trim(split_part({joined}, ' ', 1), '-'), '-', -1)"
 
 
 def letter(x: str) -> str:
@@ -234,9 +239,11 @@ def _reason_rows(form: str, first_only: bool, extra: list[tuple[str, str]] = (),
     """One row per (rejected row, reason); with ``first_only`` the first reason."""
     tests = [*RULES[form], *extra]
     if casts:
+        # only where no rule rejects the row; an open age band is no defect
+        passes = " and ".join(f"not ({p})" for _, p in RULES[form]) or "true"
         for n, k, t in FIELDS[form]:
-            if k != "string":
-                tests.append((f"cast_{n}", f"({t}) is not null and {_CAST[k](t)} is null"))
+            if k != "string" and n not in ("Min_Age", "Max_Age"):
+                tests.append((f"cast_{n}", f"({passes}) and ({t}) is not null and {_CAST[k](t)} is null"))
     src = f"p{form.lower()}"
     if first_only:
         case = " ".join(f"when {p} then '{n}'" for n, p in tests)
@@ -278,11 +285,11 @@ _UNIFIED = {
 }
 
 
-def _unified_base(flag: bool = False) -> str:
+def _unified_base(flag: bool = False, null_blank: bool = False) -> str:
     extra = "Salary_Defaulted, " if flag else ""
     return _with(
         ("raw", RAW),
-        *[(f"p{f.lower()}", _prepared_select(f, flag=flag)) for f in "ABC"],
+        *[(f"p{f.lower()}", _prepared_select(f, flag=flag, null_blank=null_blank)) for f in "ABC"],
         *[(f"g{f.lower()}", _clean_sql(f, extra=extra)) for f in "ABC"],
         ("unified", " union all ".join(f"select row_id, {extra}{_UNIFIED[f]} from g{f.lower()}" for f in "ABC")),
     )
@@ -395,6 +402,14 @@ def build() -> dict[str, str]:
         "order by actual_max_number_of_hours desc nulls last, Company_Name asc nulls last limit 4"
     )
 
+    # through CSV files and the batch job: a blank answer comes back as NULL
+    batch = _unified_base(null_blank=True)
+    columns = "select * exclude (row_id) from unified"
+    q["batch_unified"] = batch + columns
+    q["batch_quality"] = _base("ABC", null_blank=True) + _counts(" union all ".join(_reason_rows(f, False) for f in "ABC"))
+    q["batch_report_location"] = q["report_location"].replace(uni, batch)
+    q["batch_report_happy"] = q["report_happy"].replace(uni, batch)
+
     q["role_compensation"] = (
         "with p as (select upper(p_name) as Job_Title, cast(p_retailprice as decimal(38,2)) as Salary from part) "
         f"select Job_Title, {avg2('Salary')} as Compensation from p "

@@ -9,7 +9,6 @@ both engines produce the same values.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +31,8 @@ from paysift.operators.reports import (
     top_k,
 )
 from paysift.operators.unify import unify
-from paysift.session import shared_dir
+from paysift.plans.batch import run_batch
+from paysift.session import scratch_dir
 from paysift.sources.csv_forms import form_columns, read_raw_csv, write_form_csv
 from paysift.sources.derived import load_table, raw_form, raw_survey
 
@@ -58,7 +58,7 @@ def _result(spark: SparkSession, sf_dir: str, form: str, on_cast_fail: str = "nu
 
 
 def _good_forms(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    wide = raw_survey(spark, sf_dir, shared=True)
+    wide = raw_survey(spark, sf_dir)
     return {f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f]).good for f in "ABC"}
 
 
@@ -231,7 +231,7 @@ def _tagged(spark, sf_dir, form: str, wide=None, on_cast_fail: str = "null", ext
 
 
 def _all_rejected(spark, sf_dir, first_only: bool) -> DataFrame:
-    wide = raw_survey(spark, sf_dir, shared=True)
+    wide = raw_survey(spark, sf_dir)
     parts = [reason_counts(_tagged(spark, sf_dir, f, wide), f, first_only) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -257,7 +257,7 @@ def q_bonus_format_route(spark, sf_dir):
 def q_strict_cast_quarantine(spark, sf_dir):
     """With on_cast_fail='quarantine' a value that does not convert
     rejects its row; counts per reason over all three forms."""
-    wide = raw_survey(spark, sf_dir, shared=True)
+    wide = raw_survey(spark, sf_dir)
     parts = [reason_counts(_tagged(spark, sf_dir, f, wide, "quarantine"), f) for f in "ABC"]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -278,7 +278,7 @@ def q_validation_rules(spark, sf_dir):
 
 
 def q_unify_forms(spark, sf_dir):
-    wide = raw_survey(spark, sf_dir, shared=True)
+    wide = raw_survey(spark, sf_dir)
     good = {f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f], KEEP).good for f in "ABC"}
     return _ntz(unify(good, KEEP))
 
@@ -295,7 +295,7 @@ def q_report_location(spark, sf_dir):
 
 def q_report_location_answered(spark, sf_dir):
     """R2 with D14's option: salaries that were missing (defaulted to 0) left out."""
-    wide = raw_survey(spark, sf_dir, shared=True)
+    wide = raw_survey(spark, sf_dir)
     good = {
         f: process_form(raw_form(spark, sf_dir, f, wide), FORMS[f], flag_defaulted=True).good for f in "ABC"
     }
@@ -383,21 +383,56 @@ def q_location_dictionary(spark, sf_dir):
 def q_csv_round_trip(spark, sf_dir):
     """Form B written as headered CSV (an extra column placed second)
     into the shared folder, then read back by header name."""
-    path = shared_dir(spark, "csv_round_trip", uuid.uuid4().hex)
+    path = scratch_dir(spark, "csv_round_trip")
     raw = raw_form(spark, sf_dir, "B")
     write_form_csv(raw.select(FORM_B.names[0], "row_id", *FORM_B.names[1:]), path, FORM_B)
     back = read_raw_csv(spark, path)
     return back.select(F.col("row_id").cast("bigint").alias("row_id"), *form_columns(FORM_B))
 
 
+def _batch(spark, sf_dir):
+    """The batch job over all three forms: CSV files in the shared folder ->
+    landing, audit, quality, unified table and reports. Files are removed when
+    the driver's JVM ends."""
+    base = scratch_dir(spark, "batch")
+    for f in "ABC":
+        raw = raw_form(spark, sf_dir, f)
+        names = FORMS[f].names
+        write_form_csv(raw.select(names[0], "row_id", *names[1:]), f"{base}/in/{f}", FORMS[f])
+    return run_batch(spark, {f: f"{base}/in/{f}" for f in "ABC"}, f"{base}/out", report_format="parquet")
+
+
+def q_batch_unified(spark, sf_dir):
+    """S1, S5, U1 through the batch job: the unified table."""
+    return _ntz(spark.read.parquet(_batch(spark, sf_dir).unified))
+
+
+def q_batch_quality(spark, sf_dir):
+    """X1 through the batch job: rows per form and reason of the written audit tables."""
+    audit = _batch(spark, sf_dir).audit
+    parts = [reason_counts(spark.read.parquet(audit[f]), f) for f in "ABC"]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_batch_report_location(spark, sf_dir):
+    """S2, R2 through the batch job: the written report."""
+    r = spark.read.parquet(_batch(spark, sf_dir).reports["location_compensation"])
+    return r.withColumn("Average_Compensation", F.col("Average_Compensation").cast("double"))
+
+
+def q_batch_report_happy(spark, sf_dir):
+    """S2, R4 through the batch job: the written report."""
+    return spark.read.parquet(_batch(spark, sf_dir).reports["top_happy_industries"])
+
+
 def q_stream_form_b(spark, sf_dir):
     """Form B through Structured Streaming: CSV files in a folder -> the
     same tagging -> per-batch landed Parquet; returns the good rows."""
     from paysift.streaming.forms import read_stream_output, run_form_stream
 
-    base = shared_dir(spark, "stream_form_b", uuid.uuid4().hex)
+    base = scratch_dir(spark, "stream_form_b")
     raw = raw_form(spark, sf_dir, "B")
-    ordered = raw.select(FORM_B.names[0], "row_id", *FORM_B.names[1:]).repartition(4, "row_id")
+    ordered = raw.select(FORM_B.names[0], "row_id", *FORM_B.names[1:])
     write_form_csv(ordered, f"{base}/in", FORM_B)
     q = run_form_stream(spark, FORM_B, f"{base}/in", f"{base}/out", f"{base}/checkpoint", keep=["row_id"])
     q.awaitTermination()
@@ -406,6 +441,10 @@ def q_stream_form_b(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "batch_unified": q_batch_unified,
+    "batch_quality": q_batch_quality,
+    "batch_report_location": q_batch_report_location,
+    "batch_report_happy": q_batch_report_happy,
     "null_defaults": q_null_defaults,
     "trim_upper_lower": q_trim_upper_lower,
     "money_clean": q_money_clean,

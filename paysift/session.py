@@ -7,6 +7,7 @@ directory when none is configured (local runs and tests only).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,9 +46,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         if sc is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="paysift-")
         sc.setCheckpointDir(base)
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p.strip('/')}"
     return path
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder on the shared storage that goes when the driver's JVM ends."""
+    path = shared_dir(spark, name, uuid.uuid4().hex)
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path

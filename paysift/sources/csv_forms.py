@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysift.operators.forms import FormSpec
-from paysift.sources.partitioning import spread
 
 
 def _quoted(name: str) -> str:
@@ -48,12 +47,14 @@ def select_form(raw: DataFrame, spec: FormSpec) -> DataFrame:
 
 
 def read_form(
-    spark: SparkSession, path: str, spec: FormSpec, multi_line: bool = True, spread_rows: bool = True
+    spark: SparkSession, path: str, spec: FormSpec, multi_line: bool = True, spread_to: int | None = None
 ) -> DataFrame:
-    """The form's columns as renamed strings. With ``spread_rows`` an input
-    of fewer files than cores is spread over the cores after the scan."""
+    """The form's columns as renamed strings. A multi-line file is one task;
+    ``spread_to`` deals the rows of too few files to that many partitions, at
+    the price of a shuffle. It is the caller's choice: the plan does not depend
+    on the number of files."""
     form = select_form(read_raw_csv(spark, path, multi_line), spec)
-    return spread(form) if spread_rows else form
+    return form.repartition(spread_to) if spread_to else form
 
 
 def write_form_csv(df: DataFrame, path: str, spec: FormSpec, mode: str = "overwrite") -> None:

@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paysift.operators.forms import FORMS
-from paysift.session import shared_dir
-from paysift.sources.partitioning import spread
 
 RAW_SURVEY_SQL = """
 select
@@ -149,26 +147,15 @@ def survey_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     return spark.sql(
         BASE_SQL,
-        orders=spread(orders),
+        orders=orders,
         customer=load_table(spark, sf_dir, "customer"),
         nation=load_table(spark, sf_dir, "nation"),
     )
 
 
-def raw_survey(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
-    """The wide derived table: ``row_id`` plus every raw answer column.
-
-    ``shared``: the caller derives several forms from it. The joined base is
-    then checkpointed (written once to the reliable checkpoint folder) so the
-    join and its shuffles run once, not once per form branch: each branch's
-    reject filter is pushed down to the scan, which would otherwise make the
-    branches' join inputs differ and shuffle ``orders`` once per form.
-    """
-    base = survey_base(spark, sf_dir)
-    if shared:
-        shared_dir(spark)  # make sure a checkpoint folder is set
-        base = base.checkpoint()
-    return spark.sql(RAW_SURVEY_SQL, base=base)
+def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide derived table: ``row_id`` plus every raw answer column."""
+    return spark.sql(RAW_SURVEY_SQL, base=survey_base(spark, sf_dir))
 
 
 def form_projection_sql(form: str, source: str = "raw") -> str:
