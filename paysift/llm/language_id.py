@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 LONGEST = 5
 #: Bounds of the model: training rows (as expected from a hash sample), words and n-grams of each length per language.
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 2_000, 10_000, 5_000
+SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 2_000, 4_000, 2_000
 CACHE_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,11 +73,12 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     counts = counts.groupBy("lang", "kind", "name").agg(F.sum("c").alias("c"))
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("c"), "name"))
     counts = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("kind") == 0, MAX_WORDS).otherwise(MAX_GRAMS))
-    return _model(counts.select("lang", "kind", "name", "c").collect())
+    return _model(counts.select("lang", "kind", "name", "c").toArrow())
 
 
 def _model(counts) -> Model:
-    model = Model(sorted({r["lang"] for r in counts}))
+    counts = list(zip(*(c.to_pylist() for c in counts.columns)))
+    model = Model(sorted({r[0] for r in counts}))
     at = {lang: i for i, lang in enumerate(model.langs)}
     rows: list[tuple[int, int, int, int]] = []
     totals = np.zeros((LONGEST + 1, len(at)))

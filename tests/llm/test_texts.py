@@ -213,7 +213,8 @@ def test_language_looks_at_the_text_only_and_equals_brute_force(spark):
     model = language_id.train(docs)
     # what was learned: only from rows that aren't held out
     words = {w for d, t, lang, _ in rows if d is not None and t is not None and lang is not None and not held(d) for w in language_id.WORD.findall(t.lower())}
-    assert set(model.tables[0]) == words
+    assert set(model.tables[0]) <= words
+    assert all(len(t) <= len(model.langs) * n for t, n in zip(model.tables, [language_id.MAX_WORDS] + [language_id.MAX_GRAMS] * 5))
 
     def brute(text):
         if text is None or not language_id.WORD.search(text):
@@ -247,7 +248,7 @@ def test_language_edges(spark):
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert not ids & {10_001, 10_002, 10_003, 10_005} and {10_006, 10_007, 10_008, 10_009} <= ids
-    small = language_id.train(frame(spark, documents()), sample_rows=20)  # a bounded sample
+    small = language_id.train(frame(spark, documents()), sample_rows=5)  # a bounded sample
     assert 0 < len(small.tables[0]) < len(language_id.train(frame(spark, documents())).tables[0])
 
 
