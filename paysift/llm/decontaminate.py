@@ -8,13 +8,12 @@ offsets are mapped back to the original text.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +26,10 @@ _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 #: Bytes of words stay (A-Z as a-z), all others become a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
+#: What a scan returns, for Spark and for Arrow.
 RESULT = "n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>, hits array<struct<first: long, last: long>>"
+_RUNS = {names: pa.list_(pa.struct([(n, pa.int64()) for n in names])) for names in (("start", "end"), ("first", "last"))}
+_RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", _RUNS["start", "end"]), ("hits", _RUNS["first", "last"])])
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -92,27 +94,21 @@ def original_spans(text: str | None, runs: list[tuple[int, int]]) -> list[tuple[
 def _scanner(spark, items: list[tuple[str | None, str | None]], size: int):
     shared = spark.sparkContext.broadcast(items)
 
-    @F.pandas_udf(RESULT)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = automaton(shared.value, size)
         for batch in batches:
             rows = []
-            for text in batch:
-                n, runs, of = scan(text, machine)
-                spans = [{"start": a, "end": b} for a, b in original_spans(text, runs)]
-                rows.append((n, sum(b - a + 1 for a, b in runs), sorted(of), spans, [{"first": a, "last": b} for a, b in runs]))
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans", "hits"])
+            for cell in batch:
+                n, runs, of = scan(text := cell.as_py(), machine)
+                rows.append(_row(n, runs, sorted(of), original_spans(text, runs)) | {"hits": [{"first": a, "last": b} for a, b in runs]})
+            yield pa.array(rows, _RESULT)
 
     return run
 
 
-def _sha(items):
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([hashlib.sha256(",".join(x).encode()).hexdigest() for x in batch], dtype=object)
-
-    return run(items)
+def _row(n_words: int, runs: list[tuple[int, int]], items: list[str], spans: list[tuple[int, int]]) -> dict:
+    return {"n_words": n_words, "n_hit": sum(b - a + 1 for a, b in runs), "items": items, "spans": [{"start": a, "end": b} for a, b in spans], "hits": []}
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
@@ -143,15 +139,15 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automat
 
 
 def _merged(text, hits, items):
-    @F.pandas_udf(RESULT)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for batch in batches:
             rows = []
-            for t, h, of in zip(*batch):
-                runs = merged_runs([(x["first"], x["last"]) for x in (h if h is not None else ())])
-                spans = [{"start": a, "end": b} for a, b in original_spans(t, runs)]
-                rows.append((len(words_of(t)), sum(b - a + 1 for a, b in runs), list(of) if of is not None else [], spans, []))
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans", "hits"])
+            for cells in zip(*batch):
+                t, h, of = (x.as_py() for x in cells)
+                runs = merged_runs([(x["first"], x["last"]) for x in h or ()])
+                rows.append(_row(len(words_of(t)), runs, of or [], original_spans(t, runs)))
+            yield pa.array(rows, _RESULT)
 
     return run(text, hits, items).dropFields("hits")
 
@@ -168,7 +164,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
     out = with_hits(docs, benchmark, size, automaton_bytes).select("row.doc_id", "hit.*")
     return out.select(
         "doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"),
-        _sha(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans",
     )
 
 

@@ -17,7 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -250,14 +250,15 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Weights:
     n = pages.count()
     part = F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 20)) < int(min(1.0, sample_pages / max(n, 1)) * (1 << 20))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
             for page in batch["html"]:
-                found.update(label_counts(page))
-            yield pd.DataFrame([(*k, c) for k, c in found.items()], columns=["kind", "word", "inside", "c"])
+                found.update(label_counts(page.as_py()))
+            yield pa.RecordBatch.from_pylist([{"kind": k, "word": word, "inside": inside, "c": c} for (k, word, inside), c in found.items()], schema)
 
-    counts = labelled.where(part).select("html").mapInPandas(count, "kind string, word boolean, inside boolean, c long")
+    schema = pa.schema([("kind", pa.string()), ("word", pa.bool_()), ("inside", pa.bool_()), ("c", pa.int64())])
+    counts = labelled.where(part).select("html").mapInArrow(count, "kind string, word boolean, inside boolean, c long")
     counts = counts.groupBy("kind", "word").agg(F.sum(F.when(F.col("inside"), F.col("c")).otherwise(0)).alias("i"), F.sum("c").alias("c"))
     rows = counts.orderBy(F.desc("c"), "kind", "word").limit(MAX_KINDS).collect()
     return Weights({(r["kind"], r["word"]): [r["i"], r["c"] - r["i"]] for r in rows})
@@ -273,11 +274,11 @@ def extract_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFram
     """
     shared = pages.sparkSession.sparkContext.broadcast(train(pages, sample_pages).counts)
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = Weights(shared.value)
         for batch in batches:
-            yield pd.Series([main_text(p, weights) for p in batch], dtype=object)
+            yield pa.array([main_text(p.as_py(), weights) for p in batch], pa.string())
 
     out = pages.select("page_id", "url", run("html").alias("text"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -12,10 +12,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ LONGEST = 5
 #: Bounds of the model: training rows (as expected from a hash sample), words and n-grams of each length per language.
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 2_000, 4_000, 2_000
 CACHE_WORDS = 200_000
+COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("name", pa.string()), ("c", pa.int64())])
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -33,13 +35,43 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
-@dataclass
 class Model:
-    """Log frequencies: tables[0] of words, tables[n] of n-grams, each name -> row of one matrix."""
+    """Log frequencies: tables[0] of words, tables[n] of n-grams, each name -> row of one matrix.
 
-    langs: list[str]
-    tables: list[dict[str, int]] = field(default_factory=lambda: [{} for _ in range(LONGEST + 1)])
-    matrix: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    Made from counts (lang, kind, name, c) on first use: the driver passes on
+    the counts alone, and each worker makes the tables once.
+    """
+
+    def __init__(self, counts: pa.Table):
+        self.counts = counts.combine_chunks().sort_by("kind")
+
+    @cached_property
+    def langs(self) -> list[str]:
+        return sorted(self.counts["lang"].unique().to_pylist())
+
+    @cached_property
+    def tables(self) -> list[dict[str, int]]:
+        tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        for n, rows in enumerate(self._rows()):
+            first = sum(map(len, tables[:n]))
+            for i, name in enumerate(dict.fromkeys(rows["name"].to_pylist())):
+                tables[n][name] = first + i
+        return tables
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        at = {lang: i for i, lang in enumerate(self.langs)}
+        blocks = []
+        for rows, table in zip(self._rows(), self.tables):
+            block = np.full((len(table), len(at)), 0.5)
+            first = min(table.values(), default=0)
+            here = [table[name] - first for name in rows["name"].to_pylist()]
+            block[here, [at[lang] for lang in rows["lang"].to_pylist()]] += rows["c"].to_numpy()
+            blocks.append(np.log(block / (block.sum(axis=0) + 1)))
+        return np.concatenate(blocks)
+
+    def _rows(self) -> Iterator[pa.Table]:
+        return (self.counts.filter(pc.equal(self.counts["kind"], n)) for n in range(LONGEST + 1))
 
 
 def held_out() -> Column:
@@ -58,47 +90,22 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     n = rows.count()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 20))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
-            for lang, text in zip(batch["lang"], batch["text"]):
-                for word, c in Counter(WORD.findall(text.lower())).items():
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+                for word, c in Counter(WORD.findall(text.as_py().lower())).items():
                     found[lang, 0, word] += c
                     for k in range(1, LONGEST + 1):
                         for g in grams(word, k):
                             found[lang, k, g] += c
-            yield pd.DataFrame([(*k, c) for k, c in found.items()], columns=["lang", "kind", "name", "c"])
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "kind": k, "name": name, "c": c} for (lang, k, name), c in found.items()], COUNTS)
 
-    counts = rows.where("text is not null").where(part).select("lang", "text").mapInPandas(count, "lang string, kind int, name string, c long")
+    counts = rows.where("text is not null").where(part).select("lang", "text").mapInArrow(count, "lang string, kind int, name string, c long")
     counts = counts.groupBy("lang", "kind", "name").agg(F.sum("c").alias("c"))
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("c"), "name"))
     counts = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("kind") == 0, MAX_WORDS).otherwise(MAX_GRAMS))
-    return _model(counts.select("lang", "kind", "name", "c").toArrow())
-
-
-def _model(counts) -> Model:
-    counts = list(zip(*(c.to_pylist() for c in counts.columns)))
-    model = Model(sorted({r[0] for r in counts}))
-    at = {lang: i for i, lang in enumerate(model.langs)}
-    rows: list[tuple[int, int, int, int]] = []
-    totals = np.zeros((LONGEST + 1, len(at)))
-    for lang, kind, name, c in counts:
-        table = model.tables[kind]
-        rows.append((kind, table.setdefault(name, len(table)), at[lang], c))
-        totals[kind, at[lang]] += c
-    blocks = []
-    first = 0
-    for kind, table in enumerate(model.tables):
-        block = np.full((len(table), len(at)), 0.5)
-        for k, i, j, c in rows:
-            if k == kind:
-                block[i, j] += c
-        blocks.append(np.log(block / (totals[kind] + 0.5 * len(table) + 1)))
-        for name in table:
-            table[name] += first
-        first += len(table)
-    model.matrix = np.concatenate(blocks) if at else np.zeros((0, 0))
-    return model
+    return Model(counts.select("lang", "kind", "name", "c").toArrow())
 
 
 class _Words(dict):
@@ -148,11 +155,12 @@ def predictor(spark: SparkSession, model: Model):
     """A column function text -> struct<lang_pred, score>; the model's size is bounded (see :func:`train`)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = _Words(shared.value)
         for batch in batches:
-            yield pd.DataFrame([predict_text(t, words) for t in batch], columns=["lang_pred", "score"])
+            found = [predict_text(t.as_py(), words) for t in batch]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["lang_pred", "score"])
 
     return predict
 

@@ -372,6 +372,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, round
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs, width))
     full = table(nodes(docs, sketch, width, percent))
+    sketch.destroy()  # the written table needs it no more
     own = table(full.select("doc_id", "sid", "n"))
     labels = _labels(docs, full, width, percent, rounds)
 

@@ -14,7 +14,7 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,16 +139,18 @@ def scan_secrets(docs: DataFrame, min_cost: float = MIN_COST, sample_rows: int =
     and has none. Repeated rows are returned each; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(learn_words(docs, sample_rows))
+    result = pa.struct([(f"n_{name}", pa.int64()) for name in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string())])
 
-    @F.pandas_udf("n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ranks = shared.value
         for batch in batches:
             rows = []
             for text in batch:
-                spans = find_secrets(text, ranks, min_cost)
+                spans = find_secrets(text.as_py(), ranks, min_cost)
                 base = _joined([s for s in spans if s[1] < 3])
-                rows.append((*(sum(k == kind for _, k, _ in spans) for kind in range(4)), hashlib.sha256(base.encode()).hexdigest(), _joined(spans)))
-            yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
+                counts = {f"n_{name}": sum(k == kind for _, k, _ in spans) for kind, name in enumerate(KINDS)}
+                rows.append(counts | {"base_sha256": hashlib.sha256(base.encode()).hexdigest(), "spans": _joined(spans)})
+            yield pa.array(rows, result)
 
     return docs.select("doc_id", run("text").alias("s")).select("doc_id", "s.*")
