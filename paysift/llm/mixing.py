@@ -27,6 +27,8 @@ from paysift.llm.store import table
 
 #: Documents per bucket of a leaf's order: one bucket is sorted in one task.
 BUCKET_ROWS = 4096
+#: Parts of a leaf that meet its budget in separate tasks.
+SLICES = 256
 NONE = "(none)"
 
 
@@ -80,12 +82,16 @@ def mix(docs: DataFrame, levels: list[tuple[str, Column, Column]], total: int |
     names = [n for n, _, _ in levels]
     values = [F.coalesce(value.cast("string"), F.lit(NONE)).alias(n) for n, value, _ in levels]
     counted = table(docs.select("doc_id", *values, count_tokens(F.col("text")).alias("n_tokens")).where("n_tokens > 0"))
-    leaves = counted.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"))
+    # a leaf's documents are dealt to slices, so that a leaf with a third of them doesn't meet its budget in one task
+    counted = counted.withColumn("slice", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SLICES)))
+    slices = counted.groupBy(*names, "slice").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"))
+    leaves = slices.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.sum("n_docs").alias("n_docs"))
     leaves = leaf_budgets(leaves, [(n, w) for n, _, w in levels], total, max_epochs).where("budget > 0")
     leaves = leaves.withColumn("passes", F.expr("budget div tokens")).withColumn("rest", F.expr("budget - (budget div tokens) * tokens"))
     leaves = leaves.select(*names, "passes", "rest", F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long").alias("buckets"))
 
-    rows = counted.join(leaves, names)
+    budgets = table(slices.select(*names, "slice").join(leaves, names))
+    rows = counted.join(budgets, [*names, "slice"])
     # the order of the cut pass: by digest, in buckets that follow the digest
     rows = rows.withColumn("h", F.md5(F.concat_ws(":", F.lit(seed), "passes", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
     rows = rows.withColumn("bucket", F.expr("shiftright(cast(conv(substr(h, 1, 8), 16, 10) as long) * buckets, 32)"))
@@ -94,11 +100,11 @@ def mix(docs: DataFrame, levels: list[tuple[str, Column, Column]], total: int |
     part = rows.where("rest > 0")
     sums = part.groupBy(*names, "bucket", "rest").agg(F.sum("n_tokens").alias("s"))
     sums = sums.withColumn("before", F.sum("s").over(W.partitionBy(*names).orderBy("bucket")) - F.col("s"))
-    cut = sums.where("before < rest and before + s >= rest").select(*names, F.col("bucket").alias("cut"), "before")
-    part = part.join(cut, names).where("bucket <= cut")
-    inside = part.where("bucket < cut").withColumn("take_tokens", F.col("n_tokens"))
-    order = W.partitionBy(*names).orderBy("h", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, 0)
-    last = part.where("bucket = cut").withColumn("upto", F.sum("n_tokens").over(order) + F.col("before"))
+    part = part.join(sums.where("before < rest").select(*names, "bucket", "before", "s"), [*names, "bucket"])
+    inside = part.where("before + s <= rest").withColumn("take_tokens", F.col("n_tokens"))
+    # the one bucket of a leaf where the prefix ends
+    order = W.partitionBy(*names, "bucket").orderBy("h", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, 0)
+    last = part.where("before + s > rest").withColumn("upto", F.sum("n_tokens").over(order) + F.col("before"))
     last = last.withColumn("take_tokens", F.least(F.col("n_tokens"), F.col("rest") - F.col("upto") + F.col("n_tokens"))).where("take_tokens > 0")
 
     out = ["doc_id", *names, "epoch", "n_tokens", "take_tokens"]
