@@ -25,8 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from paysift.llm.store import table
+
 SLOTS = 4
 MAX_MOVES = 200
+#: Groups of more than this part (one in so many) of all rows are joined by broadcast.
+HOT = 10_000
 
 
 class CuckooIndex:
@@ -169,11 +173,20 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     equals an empty one. Other columns of ``docs`` are ignored. An empty table
     gives no rows.
     """
-    rows = digests(docs)
-    out = rows.join(groups(rows), "sha")
-    first = F.row_number().over(W.partitionBy("sha", "doc_id").orderBy("group_size"))
-    out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (first == 1))
-    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+    rows = table(digests(docs).withColumn("place", F.monotonically_increasing_id()))
+    met = table(groups(rows))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    # groups of more than one HOT-th of all rows are fewer than HOT: they meet their rows by broadcast, wherever these are
+    hot = met.where(F.col("group_size") * HOT > rows.count())
+    many = rows.join(F.broadcast(hot), "sha")
+    first = many.where(stays).groupBy("sha").agg(F.min("place").alias("first"))
+    many = many.join(F.broadcast(first), "sha").withColumn("kept", F.col("place") == F.col("first"))
+
+    few = rows.join(F.broadcast(hot.select("sha")), "sha", "left_anti").join(met, "sha")
+    nth = F.row_number().over(W.partitionBy("sha", "doc_id").orderBy("place"))
+    few = few.withColumn("kept", stays & (nth == 1))
+    columns = ["doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")]
+    return many.select(*columns).unionByName(few.select(*columns))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

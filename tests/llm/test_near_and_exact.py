@@ -117,9 +117,11 @@ def brute_exact(rows):
     return sorted(out, key=lambda r: [(x is not None, x) for x in r])
 
 
-@pytest.mark.parametrize("clash", [False, True])
-def test_exact_equals_brute_force(spark, clash):
-    rows = documents() + edge_rows()
+@pytest.mark.parametrize("clash, hot", [(False, 10_000), (True, 1), (True, 50)])  # all groups by broadcast, none, the large ones
+def test_exact_equals_brute_force(spark, clash, hot, monkeypatch):
+    monkeypatch.setattr("paysift.llm.exact_dedup.HOT", hot)
+    hot_rows = [(30_000 + i // 2, "one  text\twith copies", "en", "src0") for i in range(60)] + [(None, "without ids", "en", "src0")] * 40
+    rows = documents() + edge_rows() + hot_rows
     got = rows_of(exact_dedup(frame(spark, rows, clash)))
     assert got == brute_exact(rows)
 
