@@ -29,6 +29,8 @@ from paysift.llm.store import table
 
 SLOTS = 4
 MAX_MOVES = 200
+#: Digests that a task holds before it hands them on.
+HELD = 1 << 16
 #: Groups of more than this part (one in so many) of all rows are joined by broadcast.
 HOT = 10_000
 
@@ -139,7 +141,7 @@ def _fold(rows: DataFrame) -> DataFrame:
                     have = entry[1]
                     have[0] = least if have[0] is None else have[0] if least is None else min(least, have[0])
                     have[1] += n
-            if index.size >= 1 << 18:  # bounded memory: hand on, a later fold meets the rest
+            if index.size >= HELD:  # bounded memory: hand on, a later fold meets the rest
                 yield _rows(index)
                 index = CuckooIndex()
         yield _rows(index)
