@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from paysift.llm.store import read_arrow, table
+
 UNKNOWN = "und"
 LONGEST = 5
 #: Bounds of the model: training rows (as expected from a hash sample), words and n-grams of each length per language.
-SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 2_000, 4_000, 2_000
-CACHE_WORDS = 200_000
+SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 4_000, 50_000, 20_000
+CACHE_WORDS = 400_000
 COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("name", pa.string()), ("c", pa.int64())])
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -38,12 +40,20 @@ def grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies: tables[0] of words, tables[n] of n-grams, each name -> row of one matrix.
 
-    Made from counts (lang, kind, name, c) on first use: the driver passes on
-    the counts alone, and each worker makes the tables once.
+    Made on first use from the counts (lang, kind, name, c) that :func:`train`
+    has written to ``path``: the driver passes on the path alone, and each
+    worker reads the counts and makes the tables once.
     """
 
-    def __init__(self, counts: pa.Table):
-        self.counts = counts.combine_chunks().sort_by("kind")
+    def __init__(self, path: str):
+        self.path = path
+
+    def __reduce__(self):
+        return load, (self.path,)
+
+    @cached_property
+    def counts(self) -> pa.Table:
+        return read_arrow(self.path, COUNTS).sort_by([(c, "ascending") for c in ("kind", "lang", "name")])
 
     @cached_property
     def langs(self) -> list[str]:
@@ -74,6 +84,12 @@ class Model:
         return (self.counts.filter(pc.equal(self.counts["kind"], n)) for n in range(LONGEST + 1))
 
 
+@lru_cache(maxsize=1)
+def load(path: str) -> Model:
+    """The model of ``path``, once per process: a worker keeps it from task to task."""
+    return Model(path)
+
+
 def held_out() -> Column:
     """True for the documents that training must not see: crc32(doc_id as text) mod 4 is 2."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -83,8 +99,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from text and lang of the rows of ``docs`` that aren't held out.
 
     Rows with a null text, lang or doc_id teach nothing. The rows used are a
-    hash sample with ``sample_rows`` expected rows (all, if there are fewer);
-    what reaches the driver is bounded by MAX_WORDS and MAX_GRAMS per language.
+    hash sample with ``sample_rows`` expected rows (all, if there are fewer).
+    The counts, bounded by MAX_WORDS and MAX_GRAMS per language, are written to
+    the shared folder and don't reach the driver.
     """
     rows = docs.where("doc_id is not null and lang is not null").where(~held_out()).select("doc_id", "lang", "text")
     n = rows.count()
@@ -92,20 +109,24 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
+            words: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-                for word, c in Counter(WORD.findall(text.as_py().lower())).items():
-                    found[lang, 0, word] += c
-                    for k in range(1, LONGEST + 1):
+                words.setdefault(lang, Counter()).update(WORD.findall(text.as_py().lower()))
+            for lang, seen in words.items():
+                for k in range(LONGEST + 1):
+                    found = seen if k == 0 else Counter()
+                    for word, c in seen.items() if k else ():
                         for g in grams(word, k):
-                            found[lang, k, g] += c
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "kind": k, "name": name, "c": c} for (lang, k, name), c in found.items()], COUNTS)
+                            found[g] += c
+                    n = len(found)
+                    columns = [pa.array([lang] * n, pa.string()), pa.array([k] * n, pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
 
     counts = rows.where("text is not null").where(part).select("lang", "text").mapInArrow(count, "lang string, kind int, name string, c long")
     counts = counts.groupBy("lang", "kind", "name").agg(F.sum("c").alias("c"))
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("c"), "name"))
     counts = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("kind") == 0, MAX_WORDS).otherwise(MAX_GRAMS))
-    return Model(counts.select("lang", "kind", "name", "c").toArrow())
+    return load(table(counts.select("lang", "kind", "name", "c"))._written_to)
 
 
 class _Words(dict):
@@ -153,11 +174,10 @@ def predict_text(text: str | None, words: _Words) -> tuple[str, float]:
 
 def predictor(spark: SparkSession, model: Model):
     """A column function text -> struct<lang_pred, score>; the model's size is bounded (see :func:`train`)."""
-    shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = _Words(shared.value)
+        words = _Words(model)
         for batch in batches:
             found = [predict_text(t.as_py(), words) for t in batch]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["lang_pred", "score"])
