@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from paysift.llm.sampling import sample
 from paysift.llm.store import read_arrow, table
 
 UNKNOWN = "und"
 LONGEST = 5
-#: Bounds of the model: training rows (as expected from a hash sample), words and n-grams of each length per language.
+#: Bounds of the model, each per language: training rows (as expected from a hash sample), words and n-grams of each length.
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 4_000, 50_000, 20_000
 CACHE_WORDS = 400_000
 COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("name", pa.string()), ("c", pa.int64())])
@@ -99,13 +100,13 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from text and lang of the rows of ``docs`` that aren't held out.
 
     Rows with a null text, lang or doc_id teach nothing. The rows used are a
-    hash sample with ``sample_rows`` expected rows (all, if there are fewer).
+    hash sample of each language with ``sample_rows`` expected rows (all, if
+    the language has no more), so a rare language is learned at any size.
     The counts, bounded by MAX_WORDS and MAX_GRAMS per language, are written to
     the shared folder and don't reach the driver.
     """
-    rows = docs.where("doc_id is not null and lang is not null").where(~held_out()).select("doc_id", "lang", "text")
-    n = rows.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 20))
+    rows = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out()).select("doc_id", "lang", "text")
+    rows = sample(rows, sample_rows, "lang", "doc_id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +123,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                     columns = [pa.array([lang] * n, pa.string()), pa.array([k] * n, pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
 
-    counts = rows.where("text is not null").where(part).select("lang", "text").mapInArrow(count, "lang string, kind int, name string, c long")
+    counts = rows.select("lang", "text").mapInArrow(count, "lang string, kind int, name string, c long")
     counts = counts.groupBy("lang", "kind", "name").agg(F.sum("c").alias("c"))
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("c"), "name"))
     counts = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("kind") == 0, MAX_WORDS).otherwise(MAX_GRAMS))
