@@ -79,7 +79,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_sentences(read(spark, sf_dir, "documents"))
+    return remove_repeated_sentences(read(spark, sf_dir, "documents"), min_words=0, short=True)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Substring deduplication by sliding spans of sentences.
 
-A sentence ends at a word that ends with '.', '!' or '?', or at a line end. Every
-run of SPAN consecutive sentences with at least MIN_WORDS words is hashed (case
-of A-Z and white space don't count); equal hashes meet in a global count, summed
-before the shuffle. The first occurrence of a run stays, by doc_id and then by
+A sentence ends at a word that ends with '.', '!' or '?' (closing quotes and
+brackets may follow), after a Unicode sentence end such as the ideographic full
+stop or the danda, with or without white space after it, or at a line end. Every
+run of SPAN consecutive sentences is hashed (case of A-Z and white space don't
+count), a text of fewer sentences as one run; equal hashes meet in a global
+count, summed before the shuffle. The first occurrence of a run stays, by doc_id and then by
 place; every sentence that a later occurrence covers is removed.
 """
 
@@ -20,9 +22,62 @@ from paysift.llm import bytesx
 from paysift.llm.store import table
 
 SPAN = 3
+#: Least words of a run that is hashed. The registered query hashes every run and short texts as one.
 MIN_WORDS = 12
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
+#: What may close a quotation or bracket after a stop, and stops that need no white space after them.
+_CLOSERS = [c.encode() for c in "\"')]}»›”’」』】）〉》"]
+_WIDE_STOPS = [c.encode() for c in "。！？｡．।॥؟۔።፧፨՜՞។៕၊။‼⁇⁈⁉…"]
+
+
+def _ends_with(data: np.ndarray, ends: np.ndarray, least: np.ndarray, tails: list[bytes]) -> np.ndarray:
+    """Length of the one of ``tails`` that stands right before ``ends`` and after ``least``; else 0."""
+    out = np.zeros(len(ends), np.int64)
+    for tail in tails:
+        met = ends - least >= len(tail)
+        for i, byte in enumerate(reversed(tail), 1):
+            met &= data[np.maximum(ends - i, 0)] == byte
+        out[met] = len(tail)
+    return out
+
+
+def _stops(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """True for the words that end a sentence."""
+    at, open_ = ends.copy(), np.arange(len(ends))
+    while len(open_):  # closers come off, one at a time
+        size = _ends_with(data, at[open_], starts[open_], _CLOSERS)
+        at[open_] -= size
+        open_ = open_[size > 0]
+    left = at > starts
+    stop = left & _ENDS[data[np.maximum(at - 1, 0)]]
+    return stop | (_ends_with(data, at, starts, _WIDE_STOPS) > 0)
+
+
+def _cut_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words, cut after each wide stop (and the stops and closers after it) inside of them."""
+    cut = np.zeros(len(data) + 1, bool)  # a word may be cut before this byte
+    lead = np.flatnonzero((data == 0xE3) | (data == 0xEF) | (data == 0xE0) | (data == 0xE1) | (data == 0xE2) | (data == 0xD8) | (data == 0xDB) | (data == 0xD5))
+    if not len(lead):
+        return starts, ends
+    where = np.searchsorted(starts, lead, "right") - 1
+    for tail in _WIDE_STOPS:
+        at = lead + len(tail)
+        met = (where >= 0) & (at <= ends[np.maximum(where, 0)])
+        for i, byte in enumerate(tail):
+            met &= data[np.minimum(lead + i, len(data) - 1)] == byte
+        cut[at[met]] = True
+    for place in np.flatnonzero(cut):  # rare: goes on over what belongs to the stop
+        cut[place] = False
+        word = np.searchsorted(starts, place - 1, "right") - 1
+        to, end = place, ends[word]
+        rest = data[to:min(end, to + 64)].tobytes()
+        while tail := next((t for t in (*_CLOSERS, *_WIDE_STOPS) if rest.startswith(t)), b""):
+            to, rest = to + len(tail), rest[len(tail) :]
+        if to < end:
+            cut[to] = True
+    inner = np.flatnonzero(cut)
+    return np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
 
 
 def sentences(data: np.ndarray, bounds: np.ndarray):
@@ -30,7 +85,9 @@ def sentences(data: np.ndarray, bounds: np.ndarray):
     starts, ends, firsts = bytesx.word_spans(data, bounds, bytesx.SPACE)
     if not len(starts):
         return starts, ends, np.zeros(1, np.int64), np.zeros(0, np.int64)
-    stop = _ENDS[data[ends - 1]]
+    starts, ends = _cut_words(data, starts, ends)
+    firsts = np.searchsorted(starts, bounds)
+    stop = _stops(data, starts, ends)
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     stop[:-1] |= lines[starts[1:]] > lines[ends[:-1]]
     stop[firsts[1:][firsts[1:] > 0] - 1] = True  # no sentence goes on into the next text
@@ -39,41 +96,48 @@ def sentences(data: np.ndarray, bounds: np.ndarray):
     return starts, ends, first, text
 
 
-def _span_rows(docs: DataFrame, span: int, min_words: int) -> DataFrame:
-    """(h, doc_id, th, place) of every run of sentences."""
+def _span_rows(docs: DataFrame, span: int, min_words: int, short: bool) -> DataFrame:
+    """(h, doc_id, th, place) of every run of sentences; with ``short``, also of whole texts of fewer sentences."""
 
     def run(batches):
         for batch in batches:
             for row, _, data, bounds in bytesx.slices(batch.column(2)):
                 starts, ends, first, text = sentences(data, bounds)
-                n = len(text) - span + 1
-                if n <= 0:
+                n = max(len(text) - span + 1, 0)
+                if not len(text):
                     continue
                 words = bytesx.span_hash(bytesx.running_hash(bytesx.LOWER_VALUE[data]), starts, ends)
                 # the words of a run, sentence limits included: they are part of the words
-                h = bytesx.span_hash(bytesx.running_hash(words), first[:n], first[span : span + n])
-                ok = (text[:n] == text[span - 1 :]) & (first[span : span + n] - first[:n] >= min_words)
-                place = np.arange(len(text)) - np.searchsorted(text, text)
-                rows = pa.array(text[:n][ok] + row)
+                lo = np.flatnonzero(text[:n] == text[len(text) - n :])
+                hi = lo + span
+                if short:
+                    begins, counts = np.unique(text, return_index=True, return_counts=True)[1:]
+                    few = counts < span
+                    lo, hi = np.concatenate([lo, begins[few]]), np.concatenate([hi, (begins + counts)[few]])
+                long = first[hi] - first[lo] >= min_words
+                lo, hi = lo[long], hi[long]
+                h = bytesx.span_hash(bytesx.running_hash(words), first[lo], first[hi])
+                place = lo - np.searchsorted(text, text[lo])
+                rows = pa.array(text[lo] + row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[ok].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(place[:n][ok].astype(np.int32))], names=["h", "doc_id", "th", "place"]
+                    [pa.array(h.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(place.astype(np.int32))], names=["h", "doc_id", "th", "place"]
                 )
 
     return docs.mapInArrow(run, "h long, doc_id long, th int, place int")
 
 
-def remove_repeated_sentences(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeated_sentences(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, short: bool = False) -> DataFrame:
     """(doc_id, n_sentences, n_removed, kept_sha256, kept) for every row of ``docs`` (doc_id, text, any others).
 
     ``kept`` is the text without the removed sentences and the white space
     after them. A null text is empty; a text of fewer than ``span`` sentences
-    has no runs and stays. A null doc_id comes before all others. Rows that
+    is one run with ``short``, else it has no runs and stays. A null doc_id comes before all others. Rows that
     agree in doc_id and text are one document: they are changed alike. An empty
     table gives no rows.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.hash("text").alias("th"), "text")
-    rows = table(_span_rows(docs, span, min_words))
+    rows = table(_span_rows(docs, span, min_words, short))
     seen = rows.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "place")).alias("one")).where("c > 1")
     later = rows.join(seen.select("h", "one"), "h").where(F.struct("doc_id", "th", "place") != F.col("one"))
     covered = later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("places"))

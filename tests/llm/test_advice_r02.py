@@ -3,8 +3,9 @@
 from llm_fixtures import frame
 from pyspark.sql import functions as F
 
-from paysift.llm import language_id
+from paysift.llm import language_id, queries
 from paysift.llm.sampling import sample
+from paysift.llm.sentence_dedup import remove_repeated_sentences
 
 
 def test_language_model_keeps_rare_words(spark):
@@ -43,3 +44,27 @@ def test_sample_is_bounded_and_never_empty(spark):
     assert found["b"] == 200 and 400 < found["a"] < 600
     # the threshold of a share below 2 ** -20, which the former rounding made 0
     assert sample(rows.where("g = 'a'"), 0.5, "g", "id").count() < 20 and (0.5 / 2**40 - 0.5) * 2.0**64 > -(2.0**63)
+
+
+def test_every_repeated_run_goes(spark, tmp_path):
+    """The registered query: short runs, quoted and Unicode sentence ends, whole short texts."""
+    rows = [
+        (1, "Own start here. Yes. No. Well.", None, None),
+        (2, "Yes. No. Well. Another own end of it.", None, None),
+        (3, 'He said "stop." She said (go!) They "left?" First own.', None, None),
+        (4, 'Second own. He said "stop." She said (go!) They "left?"', None, None),
+        (5, "今天天气很好。我们去公园。「你好。」她说。", None, None),
+        (6, "另一个开头。今天天气很好。我们去公园。「你好。」她说。", None, None),
+        (7, "यह एक है। वह दो है। यह तीन है।", None, None),
+        (8, "पहले। यह एक है। वह दो है। यह तीन है।", None, None),
+        (9, "Only one sentence", None, None),
+        (10, "only  one sentence", None, None),
+        (11, "", None, None),
+        (12, " ", None, None),
+    ]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_sentences"], r["kept"]) for r in queries.op9_sentence_dedup(spark, str(tmp_path)).collect()}
+    assert [got[i][1] for i in (1, 3, 5, 7, 9, 11, 12)] == [rows[i - 1][1] for i in (1, 3, 5, 7, 9, 11, 12)]
+    assert [got[i] for i in (2, 4, 6, 8, 10)] == [(4, "Another own end of it."), (4, "Second own. "), (5, "另一个开头。"), (4, "पहले। "), (1, "")]
+    kept = {r["doc_id"]: r["kept"] for r in remove_repeated_sentences(frame(spark, rows)).collect()}
+    assert kept[2] == rows[1][1] and kept[10] == rows[9][1]  # the library's defaults stay
