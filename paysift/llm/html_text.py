@@ -36,7 +36,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset(("article", "main"))
 _CONTAINERS = frozenset("article main section div td body html".split())
-#: Words of class, id and role that mark boilerplate.
+#: Class, id and role names that mark boilerplate, whole but for a place or a part's name around them ("left-sidebar",
+#: "cookie-notice"); names that tell a state or a layout ("has-sidebar", "no-sidebar", "share-enabled") don't.
+_STATES = re.compile(r"(?:^|[_-])(?:has|no|not|with|without|is|hide|show|enabled?|disabled?|open|closed|active|layout)(?:$|[_-])", re.IGNORECASE)
+#: A marked wrapper or form with more than this share of the page's words may be the page itself; it is, if it has the
+#: title or <main>, or if what else is shown has less than the second share of its words.
+MOST_WORDS, FEW_WORDS = 0.5, 0.1
 _MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header"
     r"|comments?|commentlist|disqus|repl(?:y|ies)|respond|share|sharing|social|related|recommended|promo\w*|sponsor\w*|newsletter|subscri\w+|signup|login|search|widget|toolbar|pagination|pager"
@@ -53,15 +58,17 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.IGNO
 
 
 class Element:
-    __slots__ = ("name", "kind", "parent", "junk", "depth")
+    __slots__ = ("name", "kind", "parent", "junk", "depth", "own", "wraps", "hidden")
 
     def __init__(self, name: str, rest: str, parent: Element | None):
         marks = " ".join(m[2].strip("\"'") for m in _ATTRIBUTE.finditer(rest)) if "=" in rest else ""
         self.name, self.parent, self.depth = name, parent, 0 if parent is None else parent.depth + 1
-        marked = bool(marks) and name not in ARTICLE and name not in ("html", "body") and bool(_MARKS.search(marks))
+        marked = bool(marks) and name not in ARTICLE and name not in ("html", "body") and any(_MARKS.search(m) and not _STATES.search(m) for m in marks.split())
         own = name in BOILERPLATE or marked or bool(rest and _HIDDEN.search(rest))
         if name == "header":  # a page's header; an article's own may hold its title
             own = own or not any(e.name in ARTICLE for e in (parent.path() if parent else ()))
+        self.hidden = bool(rest and _HIDDEN.search(rest)) or (parent is not None and parent.hidden)
+        self.own, self.wraps = own, own and not self.hidden and (marked or name == "form")
         self.junk = own or (parent is not None and parent.junk)
         self.kind = f"{name}.{marks.split()[0].lower()}" if marks.split() else name
 
@@ -155,6 +162,42 @@ def label_counts(page: str) -> Counter:
     return found if marked else Counter()
 
 
+def unwrap(found: list[tuple[str, Element | None, str]]) -> None:
+    """Take the mark of boilerplate off what holds the page itself: wrappers and
+    forms (see MOST_WORDS), <main>, and the longest <article> if all of the
+    page's stand in boilerplate. Hidden elements stay out. Linear in the tokens."""
+    elements = [e for what, e, _ in found if what == "open"]  # parents come first
+    doubt = [e for e in elements if e.junk and not e.hidden and (e.wraps or e.name in ARTICLE)]
+    if not doubt:
+        return
+    words: Counter = Counter()
+    for what, e, text in found:
+        if what == "text":
+            words[e] += len(text.split())
+    shown = sum(c for e, c in words.items() if e is None or not e.junk)
+    total = sum(words.values())
+    titled = {e for e in elements if e.name in ("main", "h1")}
+    for e in reversed(elements):
+        if e.parent is not None:
+            words[e.parent] += words[e]
+            if e in titled:
+                titled.add(e.parent)
+    kept = {e for e in doubt if e.name == "main"}
+    for e in doubt:
+        if e.wraps and words[e] > MOST_WORDS * total and (e in titled or shown < FEW_WORDS * words[e]):
+            e.own = False
+
+    def settle() -> None:
+        for e in elements:
+            e.junk = e.own or (e not in kept and e.parent is not None and e.parent.junk)
+
+    settle()
+    articles = [e for e in elements if e.name in ARTICLE and not e.hidden]
+    if articles and all(e.junk for e in articles):
+        kept.add(max(articles, key=words.__getitem__))
+        settle()
+
+
 class Block:
     __slots__ = ("element", "parts", "junk", "title")
 
@@ -195,7 +238,9 @@ def main_text(page: str | None, weights: Weights) -> str:
     region = (0, -1)  # tokens first to last
     first_token: list[int] = []  # of each block
     last_token: list[int] = []
-    for what, e, text in tokens(page or ""):
+    found = list(tokens(page or ""))
+    unwrap(found)
+    for what, e, text in found:
         if what == "text":
             words = len(text.split())
             score = words * weights.score(e, True)
@@ -228,7 +273,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     root = _container(_common([_container(blocks[i].element) for i in hit]))
     marked = [e for e in (root.path() if root is not None else ()) if e.name in ARTICLE]
     if marked:
-        root = marked[-1]
+        root = marked[0]  # the nearest around the region
     if root is None or root.name in ("body", "html"):
         chosen = [i for i in range(hit[0], hit[-1] + 1) if texts[i] and not blocks[i].junk]
     else:

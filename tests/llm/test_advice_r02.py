@@ -3,7 +3,7 @@
 from llm_fixtures import frame
 from pyspark.sql import functions as F
 
-from paysift.llm import language_id, queries
+from paysift.llm import html_text, language_id, queries
 from paysift.llm.sampling import sample
 from paysift.llm.sentence_dedup import remove_repeated_sentences
 
@@ -68,3 +68,19 @@ def test_every_repeated_run_goes(spark, tmp_path):
     assert [got[i] for i in (2, 4, 6, 8, 10)] == [(4, "Another own end of it."), (4, "Second own. "), (5, "另一个开头。"), (4, "पहले। "), (1, "")]
     kept = {r["doc_id"]: r["kept"] for r in remove_repeated_sentences(frame(spark, rows)).collect()}
     assert kept[2] == rows[1][1] and kept[10] == rows[9][1]  # the library's defaults stay
+
+
+def test_wrappers_and_regions_of_pages():
+    words = "several plain words of an article that goes on"
+    side = "<div class='left-sidebar'><p>menu words</p></div>"
+    pages = {
+        **{f"<body><div class='{c}'><article><h1>T</h1><p>{words}</p></article>{side}</div></body>": f"T\n\n{words}" for c in ("layout has-sidebar", "no-sidebar", "share-enabled", "widget")},
+        f"<body><form id=aspnetForm action=x><div><h1>T</h1><p>{words}</p><p>{words}</p></div></form></body>": f"T\n\n{words}\n\n{words}",
+        f"<body><form><nav>Home</nav><main><p>{words}</p></main><label>Name</label></form></body>": words,
+        # the region lies in one of the articles of <main>
+        f"<main><article><p>{words * 9}</p></article><nav>{'<a>x</a>' * 40}</nav><article><p>teaser</p></article></main>": words * 9,
+        # long comments are not the page
+        f"<body><div><h1>T</h1><p>{words * 4}</p></div><div id=comments><p>{words * 20}</p></div></body>": f"T\n\n{words * 4}",
+    }
+    for page, want in pages.items():
+        assert html_text.main_text(page, html_text.Weights({})) == want, page
