@@ -32,8 +32,8 @@ CONTEXT = re.compile(
 )
 #: Guesses (a power of ten) from which a value counts as a secret.
 MIN_COST = 10.0
-#: Bounds of the word list: documents (expected) and words.
-SAMPLE_ROWS, MAX_WORDS = 2_000, 5_000
+#: Bound of the word list. A word of a rank beyond costs at least as much as any three letters by brute force (10 ** 4.2).
+MAX_WORDS = 20_000
 #: Words that guessers try first.
 COMMON = "password qwerty admin letmein welcome login master secret changeme default guest root test user abc example dummy placeholder your here none null true false".split()
 #: The rows of a keyboard.
@@ -118,11 +118,9 @@ def find_secrets(text: str | None, ranks: dict[str, int], min_cost: float = MIN_
     return sorted(spans)
 
 
-def learn_words(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS) -> dict[str, int]:
-    """Word -> rank: the common guesses, then the most frequent words of a hash sample of ``docs``."""
-    n = docs.count()
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 20))
-    words = docs.where(part).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,24})"), F.lit(1))).alias("w"))
+def learn_words(docs: DataFrame, max_words: int = MAX_WORDS) -> dict[str, int]:
+    """Word -> rank: the common guesses, then the most frequent words of all of ``docs``, counted before the shuffle."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,24})"), F.lit(1))).alias("w"))
     top = words.groupBy("w").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "w").limit(max_words).collect()
     return {w: i + 1 for i, w in enumerate(dict.fromkeys([*COMMON, *(r["w"] for r in top)]))}
 
@@ -131,14 +129,14 @@ def _joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan_secrets(docs: DataFrame, min_cost: float = MIN_COST, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def scan_secrets(docs: DataFrame, min_cost: float = MIN_COST) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans) for every row of ``docs`` (doc_id, text, any others).
 
     Spans are kind:start:end in code points, by start and then kind. Base spans
     are always reported; a guess span never overlaps one. A null text is empty
     and has none. Repeated rows are returned each; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn_words(docs, sample_rows))
+    shared = docs.sparkSession.sparkContext.broadcast(learn_words(docs))
     result = pa.struct([(f"n_{name}", pa.int64()) for name in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string())])
 
     @F.arrow_udf("n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")

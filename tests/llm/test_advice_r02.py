@@ -3,7 +3,7 @@
 from llm_fixtures import frame
 from pyspark.sql import functions as F
 
-from paysift.llm import html_text, language_id, queries
+from paysift.llm import html_text, language_id, queries, secrets
 from paysift.llm.sampling import sample
 from paysift.llm.sentence_dedup import remove_repeated_sentences
 
@@ -84,3 +84,14 @@ def test_wrappers_and_regions_of_pages():
     }
     for page, want in pages.items():
         assert html_text.main_text(page, html_text.Weights({})) == want, page
+
+
+def test_secret_words_are_counted_over_all_documents(spark):
+    """A word of 30 of 6,000 documents ranks by exactly that count; 6,000 kinds of words fit in the list."""
+    letters = "abcdefghij"
+    name = lambda i: "".join(letters[i // 10**k % 10] for k in range(4))
+    rows = [(i, f"z{name(i)} " + ("thirtyfold " if i % 200 == 0 else "") + ("fewer " if i % 250 == 0 else "") + "always", None, None) for i in range(6_000)]
+    ranks = secrets.learn_words(frame(spark, rows))
+    first = len(dict.fromkeys(secrets.COMMON))
+    assert [w for w, r in sorted(ranks.items(), key=lambda x: x[1])][first : first + 3] == ["always", "thirtyfold", "fewer"]
+    assert all(f"z{name(i)}" in ranks for i in range(6_000))
