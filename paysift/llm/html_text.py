@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paysift.llm.sampling import in_share
+
 #: Bounds of the model: labelled pages (expected) and element kinds.
 SAMPLE_PAGES, MAX_KINDS = 1_000, 5_000
 #: A prior's weight, in tags or words.
@@ -293,7 +295,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Weights:
     (all, if there are fewer); at most MAX_KINDS counts reach the driver."""
     labelled = pages.where(F.lower("html").rlike(r"<(article|main)[\s>]")).select("page_id", "html")
     n = pages.count()
-    part = F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 20)) < int(min(1.0, sample_pages / max(n, 1)) * (1 << 20))
+    part = in_share("page_id", "html", share=sample_pages / max(n, 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

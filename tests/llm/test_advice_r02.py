@@ -4,7 +4,7 @@ from llm_fixtures import frame
 from pyspark.sql import functions as F
 
 from paysift.llm import html_text, language_id, queries, secrets
-from paysift.llm.sampling import sample
+from paysift.llm.sampling import in_share, sample
 from paysift.llm.sentence_dedup import remove_repeated_sentences
 
 
@@ -95,3 +95,11 @@ def test_secret_words_are_counted_over_all_documents(spark):
     first = len(dict.fromkeys(secrets.COMMON))
     assert [w for w, r in sorted(ranks.items(), key=lambda x: x[1])][first : first + 3] == ["always", "thirtyfold", "fewer"]
     assert all(f"z{name(i)}" in ranks for i in range(6_000))
+
+
+def test_share_of_rows(spark):
+    ids = spark.range(100_000)
+    assert ids.where(in_share("id", share=1.5)).count() == 100_000
+    assert 800 < ids.where(in_share("id", share=0.01)).count() < 1_200
+    # the threshold of one page in 2 ** 40 is above the least hash; the former one was 0
+    assert ids.selectExpr("-9223372036854775807L as h").where(F.col("h").cast("double") < (2.0**-40 - 0.5) * 2.0**64).count() == 1
