@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from paysift.llm.licenses import NOT_WORDS, PERCENT, TEMPLATES, UNIT_ENDS
+from paysift.llm.quality_rules import LIMIT_DOCS, LIMIT_PERCENT, MAX_REPEATED, MIN_KEPT, MIN_WORDS
 from paysift.llm.queries import DOMAIN_WEIGHTS, LANG_WEIGHTS, MAX_EPOCHS, SEED
+from paysift.llm.spelling_groups import MIN_COUNT, MIN_LETTERS, RATIO
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = r"[\x20\x09-\x0D]"
@@ -104,6 +106,84 @@ select doc_id, unit::int unit, name as template, a::int n_bigrams, dice, notice
 qualify row_number() over (partition by doc_id, unit order by dice desc, name) = 1
 """
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _crc32(codes: str) -> str:
+    """The CRC-32 (polynomial 0xEDB88320) of a list of byte values."""
+    step = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {step}), 4294967295::bigint)"
+
+
+def _digit_codes(c: str) -> str:
+    return f"list_transform(string_split({c}, ''), lambda z: ord(z)::bigint)"
+
+
+_RUNS = rf"""
+with hashed as (select doc_id, text, {_WORDS} ws, {_crc32(_digit_codes("cast(doc_id as varchar)"))} h from documents),
+sized as (select *, len(ws) n, (h // 10) g from hashed),
+cut as (select *, g % n a from sized where h % 10 = 0 and n > 0),
+planted as (select *, 1 + (n - a) // (3 + g % 8) p from cut),
+texts as (select doc_id, n, ws from sized where h % 10 <> 0 or n = 0 union all
+  select doc_id, n, list_transform(range(n), lambda i: ws[case when i < a then i else a + (i - a) % p end + 1]) from planted),
+places as (select doc_id, n, unnest(range(n)) i, unnest(ws) w from texts),
+pairs as (select x.doc_id, x.i, y.i - x.i q from places x join places y on x.doc_id = y.doc_id and x.w = y.w and y.i > x.i and (y.i - x.i) * 4 <= x.n),
+islands as (select *, i - row_number() over (partition by doc_id, q order by i) island from pairs),
+stretches as (select doc_id, q, min(i) s, max(i) + q + 1 e from islands group by doc_id, q, island having max(i) + q + 1 - min(i) >= greatest(6, 4 * q)),
+runs as (select doc_id, s, e - s l, min(q) p from stretches group by doc_id, s, e),
+listed as (select doc_id, count(*) n_runs, string_agg(s || ',' || l || ',' || p || chr(10), '' order by s, p) t from runs group by doc_id),
+ranked as (select *, row_number() over (partition by doc_id order by (1000000000::hugeint * l) // p desc, s, p) r from runs),
+gone as (select distinct doc_id, unnest(range(s + p, s + l)) i from runs),
+kept as (select doc_id, string_agg(w, ' ' order by i) t from places anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, coalesce(n_runs, 0) n_runs, s as start, l as length, p as period, 1000 * l // p exponent_milli, sha256(coalesce(listed.t, '')) runs_sha256, sha256(coalesce(kept.t, '')) collapsed_sha256
+from documents d left join listed using (doc_id) left join kept using (doc_id) left join (select * from ranked where r = 1) b using (doc_id)
+"""
+
+_QUALITY = rf"""
+with base as (select doc_id, coalesce(source, '') host, coalesce(text, '') t, {_WORDS} ws from documents),
+wins as (select doc_id, len(ws) n, unnest(range(1, len(ws) - 1)) i, ws from base where len(ws) >= 3),
+grams as (select doc_id, i, ws[i:i + 2] g from wins),
+often as (select doc_id, i from grams qualify count(*) over (partition by doc_id, g) > 1),
+spread as (select doc_id, count(distinct pos) n_repeat_words from (select doc_id, unnest(range(i, i + 3)) pos from often) group by doc_id),
+split as (select doc_id, host, string_split(t, chr(10)) ls from base),
+cut as (select doc_id, host, unnest(ls) l, unnest(range(len(ls))) k from split),
+lines as (select doc_id, host, l, k, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) words,
+    array_to_string(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') norm from cut),
+worded as (select * from lines where words > 0),
+dup as (select doc_id, count(*) - count(distinct l) n_dup_lines from worded group by doc_id),
+whole as (select doc_id, host, string_agg(norm, chr(10) order by k) whole from worded group by doc_id, host),
+hosts as (select host, count(distinct whole) host_docs from whole group by host),
+held as (select host, norm, count(distinct whole) n_docs from worded join whole using (doc_id, host) group by host, norm),
+frequent as (select host, norm from held join hosts using (host) where n_docs > {LIMIT_DOCS} and n_docs * 100 > host_docs * {LIMIT_PERCENT}),
+gone as (select doc_id, sum(words)::bigint gone from worded join frequent using (host, norm) group by doc_id),
+all_ as (select doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols,
+    coalesce(n_dup_lines, 0) n_dup_lines, coalesce(n_repeat_words, 0) n_repeat_words, coalesce(gone, 0) n_removed_words
+  from base left join dup using (doc_id) left join spread using (doc_id) left join gone using (doc_id)),
+judged as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEATED} * n_words base_failed from all_)
+select *, not base_failed and (n_words - n_removed_words) * 100 >= n_words * {MIN_KEPT} kept from judged
+"""
+
+_SPELLING = rf"""
+with recursive runs as (select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') w from documents),
+long as (select * from runs where length(w) >= {MIN_LETTERS}),
+bytes as (select doc_id, w, list_concat({_digit_codes("cast(doc_id as varchar)")}, list_prepend(58::bigint, flatten(list_transform(string_split(w, ''),
+    lambda z: case when ord(z) < 128 then [ord(z)::bigint] else [195::bigint, ord(z)::bigint - 64] end)))) b from long),
+hashed as (select w, {_crc32("b")} h from bytes),
+spelt as (select case when h % 31 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end word from hashed),
+words as (select word, count(*) n from spelt where length(word) >= {MIN_LETTERS} group by word having count(*) >= {MIN_COUNT}),
+del as (select word, unnest(range(1, length(word) + 1)) i from words),
+less as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) d from del),
+pairs as (select a.word x, b.word y from less a join less b on a.i = b.i and a.d = b.d and a.word <> b.word
+  union select l.d, l.word from less l join words on words.word = l.d
+  union select l.word, l.d from less l join words on words.word = l.d),
+ranked as (select x, y, m.n, count(*) over (partition by x) n_near, row_number() over (partition by x order by m.n desc, y) r from pairs join words m on m.word = y),
+best as (select w.word, w.n, coalesce(n_near, 0) n_near, case when r.n >= {RATIO} * w.n then y end form, case when r.n >= {RATIO} * w.n then r.n end form_n
+  from words w left join ranked r on r.x = w.word and r.r = 1),
+follow as (select word, word as root from best union all select f.word, b.form from follow f join best b on b.word = f.root where b.form is not null),
+ends as (select f.word, f.root from follow f join best b on b.word = f.root where b.form is null)
+select word, form, root, n, n_near, form_n from best join ends using (word)
+"""
+
 
 ORACLE_SQL = {
     "op1_source_mix": _mix_sql(),
@@ -111,4 +191,7 @@ ORACLE_SQL = {
     "op6_ngram_jaccard": _JACCARD,
     "op7_exact_dedup": _EXACT,
     "op10_decontaminate": _CONTAMINATION,
+    "op11_periodic_runs": _RUNS,
+    "op12_quality_rules": _QUALITY,
+    "op13_spelling_groups": _SPELLING,
 }

@@ -14,8 +14,11 @@ from paysift.llm.language_id import identify
 from paysift.llm.licenses import scan_licenses
 from paysift.llm.mixing import mix
 from paysift.llm.ngram_jaccard import jaccard_components
+from paysift.llm.periodic_runs import collapse_runs
+from paysift.llm.quality_rules import apply_rules
 from paysift.llm.secrets import scan_secrets
 from paysift.llm.sentence_dedup import remove_repeated_sentences
+from paysift.llm.spelling_groups import group_spellings, word_counts
 from paysift.llm.suffix_dedup import remove_repeats
 
 #: Target weights of the registered mix: domains by number, languages by name; sources of a language weigh the same.
@@ -87,6 +90,47 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): with h = crc32 of the decimal doc_id and g = h div 10, the words of every text with
+    h % 10 = 0 repeat from word a = g % n on with period 1 + (n - a) div (3 + g % 8). A null doc_id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1)))
+    rows = docs.select("doc_id", "text", h.alias("h")).select("doc_id", "text", words.alias("words"), F.expr("h div 10 as g"))
+    rows = rows.select("*", F.expr("g % nullif(size(words), 0) as a")).select("*", F.expr("1 + (size(words) - a) div (3 + g % 8) as p"))
+    word = "transform(sequence(0L, size(words) - 1L), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)])"
+    return rows.select("doc_id", F.expr(f"if(a is null, text, array_join({word}, ' ')) as text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_runs(with_planted_periods(read(spark, sf_dir, "documents")))
+    order = """array_sort(runs, (x, y) -> case
+        when x.length * y.period <> y.length * x.period then if(x.length * y.period > y.length * x.period, -1, 1)
+        when x.start <> y.start then if(x.start < y.start, -1, 1) else cast(sign(x.period - y.period) as int) end)"""
+    found = found.withColumn("best", F.get(F.expr(order), 0))
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.expr(f"sha2({listed}, 256)").alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(read(spark, sf_dir, "documents")).drop("removed_lines")
+
+
+def misspelt(doc_id, run):
+    """The run, without the letter h % length if 31 divides h, the crc32 of `<doc_id>:<run>`. A null doc_id changes nothing."""
+    h = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    cut = F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))
+    return F.when(h % 31 == 0, cut).otherwise(run)
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(word_counts(read(spark, sf_dir, "documents"), spell=misspelt))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline.py`` over ``documents``."""
     import corpus_pipeline
@@ -107,6 +151,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_sentence_dedup,
         op10_decontaminate,
+        op11_periodic_runs,
+        op12_quality_rules,
+        op13_spelling_groups,
         pipeline,
     )
 }
