@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -21,14 +16,3 @@ def spark():
 def sf_dir():
     return SF_SMALL
 
-
-def column_values(spark, values, fn, name="x"):
-    """Apply a Column function to a one-column string frame; return results in order."""
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {name} string")
-    out = fn(F.col(name))
-    if isinstance(out, tuple):
-        rows = df.select("i", *[o.alias(f"o{k}") for k, o in enumerate(out)]).orderBy("i").collect()
-        return [tuple(r[1:]) for r in rows]
-    return [r[1] for r in df.select("i", out.alias("o")).orderBy("i").collect()]

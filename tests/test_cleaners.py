@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
-from conftest import column_values
+from survey_helpers import column_values
 from pyspark.sql import functions as F
 
 from paysift.functions import cleaners as C

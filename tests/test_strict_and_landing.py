@@ -1,7 +1,7 @@
 """Strict casts, overflow, re-runs of a landing, and literal tables of two cleaners."""
 
 import pytest
-from conftest import column_values
+from survey_helpers import column_values
 from pyspark.sql import functions as F
 
 from paysift.functions.casts import try_int_trunc
