@@ -9,10 +9,11 @@ once per rule, and ``reasons[0]`` names the first failed test in rule order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -26,15 +27,31 @@ DEFAULTED = "Salary_Defaulted"
 CAST_FAIL_MODES = ("null", "quarantine", "raise")
 
 
+@dataclass(frozen=True)
+class LandedCounts:
+    """Rows of a landing: all, good, and per reason (of all reasons, and of each row's first one)."""
+
+    rows: int
+    good: int
+    reasons: dict[str, int]
+    first_reasons: dict[str, int]
+
+    @property
+    def rejected(self) -> int:
+        return self.rows - self.good
+
+
 class CleanResult:
     """Typed good rows and rejected rows (prepared text plus ``reasons``).
 
     Each side is a DataFrame built on first access, so a caller that uses
-    one side does not pay for planning the other."""
+    one side does not pay for planning the other. ``counts`` is what a landing
+    counted while it wrote (see :func:`land`), else None."""
 
-    def __init__(self, good: Callable[[], DataFrame], rejected: Callable[[], DataFrame]):
+    def __init__(self, good: Callable[[], DataFrame], rejected: Callable[[], DataFrame], counts: LandedCounts | None = None):
         self._make = {"good": good, "rejected": rejected}
         self._built: dict[str, DataFrame] = {}
+        self.counts = counts
 
     def _side(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -125,13 +142,57 @@ def route(tagged: DataFrame, spec: FormSpec, keep: Sequence[str] = ()) -> CleanR
     return CleanResult(good, rejected)
 
 
-def land(tagged: DataFrame, path: str, text_columns: Sequence[str] | None = None) -> None:
+def reason_names(spec: FormSpec, on_cast_fail: str = "null", extra_rules: Sequence[Rule] = ()) -> list[str]:
+    """Every reason that :func:`tag` can give, in order."""
+    casts = [f"cast_{f.name}" for f in spec.fields if f.kind != "string" and not f.may_be_open]
+    return [*[r.name for r in [*spec.rules, *extra_rules]], *(casts if on_cast_fail == "quarantine" else [])]
+
+
+def land(tagged: DataFrame, path: str, text_columns: Sequence[str] | None = None, reasons: Sequence[str] | None = None) -> LandedCounts | None:
     """Write a tagged form once, split by status (``status=good|rejected``).
 
     Each row keeps the half that its status needs: typed values if good, the
-    prepared text if rejected. The whole landing is replaced, whatever the
-    session's partition overwrite mode.
+    prepared text (``text_columns``) if rejected. The whole landing is replaced, whatever the
+    session's partition overwrite mode. With ``spark.sql.maxConcurrentOutputFileWriters``
+    of 2 or more in the session, tasks write both sides at once and don't sort their rows by status.
+
+    With ``reasons`` (all names that may occur), rows are counted by an
+    ``Observation`` as they are written, and no one reads them again to count;
+    the landing then has a readable ``status=rejected`` folder even if it is empty.
     """
+    counted, observation = _observed(tagged, reasons) if reasons is not None else (tagged, None)
+    _write_landing(counted, path, text_columns)
+    if observation is None:
+        return None
+    counts = _counts(observation, reasons)
+    if not counts.rejected:
+        none = tagged.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in tagged.schema.fields]).limit(0)
+        none.write.mode("overwrite").parquet(f"{path}/status=rejected")
+    return counts
+
+
+def _observed(tagged: DataFrame, reasons: Sequence[str]) -> tuple[DataFrame, Observation]:
+    observation = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(F.size(REASONS) == 0).alias("good")]
+    for i, name in enumerate(reasons):
+        metrics.append(F.count_if(F.array_contains(REASONS, name)).alias(f"any_{i}"))
+        metrics.append(F.count_if(F.get(F.col(REASONS), 0) == name).alias(f"first_{i}"))
+    return tagged.observe(observation, *metrics), observation
+
+
+def _counts(observation: Observation, reasons: Sequence[str]) -> LandedCounts:
+    got = observation.get
+    each = {kind: {name: got[f"{kind}_{i}"] for i, name in enumerate(reasons) if got[f"{kind}_{i}"]} for kind in ("any", "first")}
+    return LandedCounts(got["rows"], got["good"], each["any"], each["first"])
+
+
+def counted_reasons(spark, counts: dict[str, LandedCounts], first_only: bool = False) -> DataFrame:
+    """The data-quality table (form, reason, n) from what the landings counted; equal to :func:`reason_counts`."""
+    rows = [(form, reason, n) for form, c in counts.items() for reason, n in (c.first_reasons if first_only else c.reasons).items()]
+    return spark.createDataFrame(rows, "form string, reason string, n long")
+
+
+def _write_landing(tagged: DataFrame, path: str, text_columns: Sequence[str] | None) -> None:
     good = F.size(REASONS) == 0
     landed = [c for c in tagged.columns if c.startswith(TYPED)]
     text = [c for c in (text_columns or ()) if c in tagged.columns]
@@ -174,16 +235,18 @@ def process_form(
     Lazily, ``good`` and ``rejected`` are two filters over one tagged
     projection; reading both scans the input twice. With ``land_to`` (a
     folder on shared storage) the tagged rows are written once and both
-    sides are partition-pruned reads of that table. ``flag_defaulted`` carries
-    a ``Salary_Defaulted`` column through to both sides.
+    sides are partition-pruned reads of that table; the result then has
+    ``counts``. ``flag_defaulted`` carries a ``Salary_Defaulted`` column through to both sides.
     """
     prepared = prepare(raw, spec, keep, flag_defaulted)
     keep = [*keep, DEFAULTED] if flag_defaulted else keep
     tagged = tag(prepared, spec, keep, on_cast_fail, extra_rules)
     if land_to is None:
         return route(tagged, spec, keep)
-    land(tagged, land_to, spec.names)
-    return route_landed(raw.sparkSession, land_to, spec, keep, schema=tagged.schema)
+    counts = land(tagged, land_to, spec.names, reason_names(spec, on_cast_fail, extra_rules))
+    result = route_landed(raw.sparkSession, land_to, spec, keep, schema=tagged.schema)
+    result.counts = counts
+    return result
 
 
 def clean(raw: DataFrame, spec: FormSpec, keep: Sequence[str] = (), on_cast_fail: str = "null") -> DataFrame:

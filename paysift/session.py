@@ -24,6 +24,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # a landing writes good and rejected rows at once instead of sorting each task's rows by status
+        .config("spark.sql.maxConcurrentOutputFileWriters", "4")
         # remove checkpoint files once the checkpointed frame is garbage-collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")

@@ -1,11 +1,8 @@
-"""Sinks: reports (S2), the audit table of rejected rows (S5, X1), landing."""
+"""Sinks: reports (S2) and the audit table of rejected rows (S5, X1). Landings are written by ``operators.clean.land``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from paysift.operators.clean import land
+from pyspark.sql import DataFrame
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> None:
@@ -20,15 +17,6 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 
 def write_audit(rejected: DataFrame, path: str) -> None:
-    """Rejected rows with their reasons, as Parquet (the array stays an array)."""
+    """Rejected rows with their reasons, as Parquet (the array stays an array). A
+    landed form needs no such copy: its ``status=rejected`` folder is the audit table."""
     rejected.write.mode("overwrite").parquet(path)
-
-
-def land_tagged(tagged: DataFrame, path: str) -> None:
-    """Write a tagged form once, split by status; later reads of either side
-    are partition-pruned scans instead of a second pass over the raw input."""
-    land(tagged, path)
-
-
-def read_landed(spark: SparkSession, path: str, status: str) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col("status") == status).drop("status")
