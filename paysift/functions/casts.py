@@ -20,7 +20,10 @@ _FRACTION_TEXT = r"^\s*[+-]?\.[0-9]*\s*$"
 
 
 def try_ts(c: ColumnOrName) -> Column:
-    return F.try_to_timestamp(col_of(c), F.lit(TS_FORMAT))
+    """Survey timestamp text to a timestamp; NULL when it does not parse. The
+    text is read as UTC whatever the session's zone, so a time that a zone's
+    clock change skips stays what it says."""
+    return F.try_to_timestamp(F.concat(col_of(c), F.lit(" +00:00")), F.lit(TS_FORMAT + " XXX"))
 
 
 def try_money(c: ColumnOrName) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType, FloatType, IntegerType
 
 MONEY = DecimalType(38, 2)
 
+# The unified table's columns, and (in ``_mapping``) what stands for a column that a form lacks.
 UNIFIED_COLUMNS = (
     "Created_At", "Company_Name", "Location", "Industry", "Job_Title", "Salary", "Bonus",
     "Annual_Vacation_In_Weeks", "Happy_With_Job", "Want_To_Resign", "Gender", "Min_Exp", "Max_Exp",
