@@ -11,6 +11,7 @@ text of ``paysift.sources.derived``.
 from __future__ import annotations
 
 from paysift.operators.forms import FORMS
+from paysift.operators.reports import ROLE_KEYWORDS
 from paysift.sources.derived import BASE_SQL, FORM_COLUMNS, RAW_SURVEY_SQL
 
 RAW = RAW_SURVEY_SQL.format(base="(" + BASE_SQL.format(orders="orders", customer="customer", nation="nation") + ")")
@@ -259,6 +260,7 @@ def _counts(rows: str) -> str:
 
 # ---- unified table -----------------------------------------------------------------------
 
+# The unified table's columns and the constants of columns that a form lacks.
 _UNIFIED = {
     "A": (
         "Created_At, '' as Company_Name, Location, Industry, Job_Title, Annual_Salary as Salary, "
@@ -295,11 +297,7 @@ def _unified_base(flag: bool = False, null_blank: bool = False) -> str:
     )
 
 
-ROLE_KEYWORDS_SQL = " or ".join(
-    f"contains(Job_Title, '{k}')"
-    for k in ("SOFTWARE", "DATA", "TECH", "ENGINEERING", "WEB", "DEVELOPER", "UX", "PROJECT MANAGER",
-              "FULL STACK", "ARCHITECT")
-)
+ROLE_KEYWORDS_SQL = " or ".join(f"contains(Job_Title, '{k}')" for k in ROLE_KEYWORDS)
 
 
 def _w(col: str, form: str, name: str) -> str:

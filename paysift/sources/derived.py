@@ -14,6 +14,7 @@ oracle with view names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paysift.operators.forms import FORMS
 
@@ -50,6 +51,8 @@ select
     when 2 then '41 years or more' when 3 then '5-7 years' else null end as experience_a,
   case when o_orderkey % 9 = 0 then null when o_orderkey % 9 = 1 then ''
     when o_orderkey % 9 = 2 then concat(' acme ', cast(o_custkey % 40 as string), ' ')
+    when o_orderkey % 9 = 3 then concat('Acme "', cast(o_custkey % 40 as string), '" & Sons,', chr(10), 'Ltd')
+    when o_orderkey % 9 = 4 then concat('"', cast(o_custkey % 40 as string), '",', chr(10), chr(10), '""')
     else concat('Acme ', cast(o_custkey % 40 as string)) end as company_b,
   case when o_orderkey % 11 = 0 then '' when o_orderkey % 11 = 1 then null
     else n_name end as country_b,
@@ -139,6 +142,43 @@ for _f, _m in FORM_COLUMNS.items():
     assert list(_m) == FORMS[_f].names, _f
 
 
+# Form C's answers in the order of its columns, for :func:`damaged_lines`.
+LINE_COLUMNS = FORM_COLUMNS["C"]
+
+
+def _cell(column: str) -> str:
+    return f"""case when {column} is null then '' else concat('"', replace({column}, '"', '""'), '"') end"""
+
+
+def _line(columns: list[str]) -> str:
+    return "concat(cast(row_id as string), " + ", ".join(f"',', {_cell(c)}" for c in columns) + ")"
+
+
+# Form C as CSV lines in eight files, some with a field too many, two too few, or a quote that never closes.
+DAMAGED_LINES_SQL = f"""
+select cast(row_id % 8 as int) as lot, row_id as place, case row_id % 23
+    when 0 then concat({_line(list(LINE_COLUMNS.values()))}, ',one, too many')
+    when 1 then {_line(list(LINE_COLUMNS.values())[:-2])}
+    when 2 then concat(cast(row_id as string), ',"torn,', cast(row_id as string))
+    else {_line(list(LINE_COLUMNS.values()))} end as value
+from {{base}}
+"""
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lot, place, value): the lines, with each file's header at place -1."""
+    wide = raw_survey(spark, sf_dir)
+    header = ",".join(["row_id", *FORMS["C"].headers])
+    lines = spark.sql(DAMAGED_LINES_SQL, base=wide)
+    heads = lines.groupBy("lot").agg(F.min(F.lit(-1).cast("long")).alias("place"), F.min(F.lit(header)).alias("value"))
+    return lines.unionByName(heads)
+
+
+def resubmitted(raw: DataFrame) -> DataFrame:
+    """A raw form whose every seventh row comes again under another row_id."""
+    return raw.unionByName(raw.where("row_id % 7 = 0").withColumn("row_id", F.col("row_id") + 1_000_000_000))
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -1,15 +1,10 @@
 """Differential: every registered query against its DuckDB oracle at sf0.001."""
 
-import os
-import sys
-
 import pytest
+from oracle_check import duck, norm
 
 import __spark_entry__ as entry
-from paysift.plans.queries import QUERIES
-
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
-from oracle_check import duck, norm  # noqa: E402
+from paysift.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
