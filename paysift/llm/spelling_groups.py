@@ -1,17 +1,19 @@
 """Grouping of spelling variants: words that one edit turns into each other.
 
-A word is a point: how often it has each letter (accented letters share a few
-coordinates), and the same for its first half, which tells rearranged letters
-apart. One edit moves the counts of the whole word by at most two (one, if it
-adds a letter), summed over the coordinates, and those of a prefix of fixed
-length by at most two. So near words are found by range searches in k-d trees,
-one search per pair of lengths (n, n) and (n, n + 1): a box farther away than
-that has none of them. Points within range are verified letter by letter.
+A word is a point: how often each letter stands in its first half, and in its
+second (accented letters share a few coordinates). A replaced letter changes the
+counts of one half, by two in sum. A word with one letter less, cut in two
+before or after the place of the cut, has the same counts as the longer one but for that
+letter. So near words are found by range searches in k-d trees over the count
+vectors, per pair of lengths: (n, n) within L1 distance two, and (n - 1, n)
+within one, once for either way to cut the shorter word. A box farther away
+than that has none of them. Points within range are verified letter by letter.
 
 The upper part of each length's tree is made on the driver from a bounded sample
 and cuts space into cells. Every word is a point of one cell, and a query of each
-cell whose box is in range. A task joins one cell's points and queries by a k-d
-tree of its own, fitted to the points; cells of more points or queries than a task may hold are cut
+cell whose box is in range. A task joins one cell's points and queries by k-d
+trees of their own: boxes of queries against boxes of points, then the members of
+the pairs in range. Cells of more points or queries than a task may hold are cut
 into pieces that meet piece by piece. Only counts and the best partner of
 each word leave a task, so no pairs are written.
 """
@@ -31,12 +33,16 @@ from paysift.llm.store import table
 
 MIN_LETTERS, MIN_COUNT, RATIO = 7, 2, 10
 #: Words that the upper trees are fitted to, as expected from a hash sample, and the words that a cell is meant to hold.
-SAMPLE_WORDS, CELL_WORDS = 50_000, 12_000
+SAMPLE_WORDS, CELL_WORDS = 50_000, 40_000
 #: Letters of the points, and of the queries, that one task holds.
 PIECE_LETTERS = 1 << 19
-LEAF = 24
-#: Coordinates: a-z, and the other code points by remainder.
-DIMS = 32
+LEAF = 12
+#: Pairs of boxes, or of one box's points with another's, that are measured at a time.
+STEP = 1 << 16
+#: Coordinates: a-z, and the other code points by remainder. Counts are told apart up to LEVELS; the fewer, the looser the bound.
+DIMS, LEVELS = 32, 2
+#: What a word is to a cell: a point, or a query for words as long or one letter longer.
+POINT, SAME, EARLY, LATE = range(4)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,41 +52,65 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
 
 
-def count_vectors(words: list[str], half: np.ndarray) -> np.ndarray:
-    """Letter counts of each word and, after them, of its first ``half`` letters; cut at 255."""
+def count_codes(words: list[str], split: int) -> np.ndarray:
+    """Letter counts of each word before the letter ``split`` and from there on, as bits.
+
+    A count c sets the first c of its LEVELS bits (a larger one sets all), so the
+    number of bits in which two codes differ is their L1 distance, or less where counts are
+    cut off. The minimum of some points is the AND of their codes, the maximum the OR.
+    """
     codes, bounds = _letters(words)
     sizes = np.diff(bounds)
     word = np.repeat(np.arange(len(words)), sizes)
     dim = np.where((codes >= 97) & (codes < 123), codes - 97, 26 + codes % (DIMS - 26)).astype(np.int64)
-    cell = word * (2 * DIMS) + dim
-    early = np.arange(len(codes)) - bounds[:-1][word] < half[word]
-    counts = np.bincount(cell, minlength=len(words) * 2 * DIMS) if len(words) else np.zeros(0, np.int64)
-    counts = counts + np.bincount(cell[early] + DIMS, minlength=len(words) * 2 * DIMS) if len(words) else counts
-    return np.minimum(counts, 255).astype(np.int16).reshape(len(words), 2 * DIMS)
+    late = np.arange(len(codes)) - bounds[:-1][word] >= split
+    counts = np.bincount(word * (2 * DIMS) + dim + DIMS * late, minlength=len(words) * 2 * DIMS)
+    bits = counts.reshape(len(words), 2 * DIMS, 1) > np.arange(LEVELS)
+    return np.packbits(bits.reshape(len(words), -1), axis=1, bitorder="little").view(np.uint64)
+
+
+def _differ(bits: np.ndarray) -> np.ndarray:
+    """How many bits are set in each row."""
+    return np.bitwise_count(bits).sum(axis=1, dtype=np.uint8)
+
+
+def _in_range(low: np.ndarray, high: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
+    """True for the queries within ``radius`` of the box [low, high]."""
+    return _differ((low & ~queries) | (queries & ~high)) <= radius  # no bit is in both
+
+
+def _bits(codes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(codes.view(np.uint8).reshape(len(codes), -1), axis=1, bitorder="little")
 
 
-def _beyond(queries: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int) -> np.ndarray:
-    """True for the queries that are in range of the box [low, high]."""
-    off = np.maximum(low - queries, 0) + np.maximum(queries - high, 0)
-    return (off[:, :DIMS].sum(axis=1) <= radius) & (off[:, DIMS:].sum(axis=1) <= 2)
+def _cut(bits: np.ndarray) -> int | None:
+    """The bit, a letter and a count, that parts the points most evenly: those with fewer of the letter, and the others; None if all agree."""
+    have = np.add.reduce(bits, axis=0, dtype=np.int64)
+    best = int(np.argmin(np.abs(2 * have - len(bits))))
+    return best if 0 < have[best] < len(bits) else None
+
+
+def _one_bit(bit: int) -> np.ndarray:
+    out = np.zeros(2 * DIMS * LEVELS, np.uint8)
+    out[bit] = 1
+    return np.packbits(out, bitorder="little").view(np.uint64)
 
 
 @dataclass
 class _Node:
-    """A box of an upper tree: cut at ``at`` on ``dim``, or the cell ``cell``."""
+    """A box of an upper tree: cut at ``bit``, or the cell ``cell``."""
 
     cell: int = -1
-    dim: int = 0
-    at: int = 0
-    below: _Node | None = None
-    above: _Node | None = None
+    bit: int = 0
+    fewer: _Node | None = None
+    more: _Node | None = None
 
 
 @dataclass
 class UpperTrees:
     """One tree for each length that the sample has; words of other lengths are one cell."""
 
-    trees: dict[int, tuple[_Node, int]] = field(default_factory=dict)
+    trees: dict[int, _Node] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, words: list[str], cell_words: float) -> UpperTrees:
@@ -90,57 +120,39 @@ class UpperTrees:
         for w in sorted(words):
             by_length.setdefault(len(w), []).append(w)
         for n, group in by_length.items():
-            cells = iter(range(len(group) + 1))
-            root = cls._split(count_vectors(group, np.full(len(group), n // 2)), max(cell_words, 8), cells)
-            out.trees[n] = (root, next(cells))
+            bits = _bits(count_codes(group, n // 2))
+            out.trees[n] = cls._split(bits, max(cell_words, 8), iter(range(len(group) + 1)))
         return out
 
     @staticmethod
-    def _split(points: np.ndarray, cell_words: float, cells: Iterator[int]) -> _Node:
-        if len(points) > cell_words and (cut := _cut(points)) is not None:
-            dim, at = cut
-            low = points[:, dim] <= at
-            return _Node(-1, dim, at, UpperTrees._split(points[low], cell_words, cells), UpperTrees._split(points[~low], cell_words, cells))
+    def _split(bits: np.ndarray, cell_words: float, cells: Iterator[int]) -> _Node:
+        if len(bits) > cell_words and (bit := _cut(bits)) is not None:
+            more = bits[:, bit] == 1
+            return _Node(-1, bit, UpperTrees._split(bits[~more], cell_words, cells), UpperTrees._split(bits[more], cell_words, cells))
         return _Node(next(cells))
 
-    def cells(self, n: int, vectors: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell): the cells of length ``n`` whose boxes are in range of each vector; radius 0 for points."""
+    def cells(self, n: int, codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell): the cells of length ``n`` whose boxes are in range of each code; radius 0 for points."""
         if n not in self.trees:
-            return np.arange(len(vectors)), np.zeros(len(vectors), np.int32)
+            return np.arange(len(codes)), np.zeros(len(codes), np.int32)
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        low, high = np.zeros(2 * DIMS, np.int16), np.full(2 * DIMS, 255, np.int16)
-        slack = 2 if radius else 0
 
         def walk(node: _Node, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+            rows = rows[_in_range(low, high, codes[rows], radius)]
             if not len(rows):
                 return
             if node.cell >= 0:
                 found.append((rows, np.full(len(rows), node.cell, np.int32)))
                 return
-            for child, lo, hi in ((node.below, low, np.where(np.arange(2 * DIMS) == node.dim, node.at, high)), (node.above, np.where(np.arange(2 * DIMS) == node.dim, node.at + 1, low), high)):
-                off = np.maximum(lo - vectors[rows], 0) + np.maximum(vectors[rows] - hi, 0)
-                near = (off[:, :DIMS].sum(axis=1) <= radius) & (off[:, DIMS:].sum(axis=1) <= slack)
-                walk(child, rows[near], lo, hi)
+            bit = _one_bit(node.bit)
+            walk(node.fewer, rows, low, high & ~bit)
+            walk(node.more, rows, low | bit, high)
 
-        walk(self.trees[n][0], np.arange(len(vectors)), low, high)
+        words = 2 * DIMS * LEVELS // 64
+        walk(self.trees[n], np.arange(len(codes)), np.zeros(words, np.uint64), np.full(words, ~np.uint64(0)))
         return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
 
 
-def _cut(points: np.ndarray) -> tuple[int, int] | None:
-    """(coordinate, largest value of the lower side): the cut of the widest coordinate nearest to the middle; None if all points agree."""
-    spread = points.var(axis=0)
-    dim = int(np.argmax(spread))
-    if spread[dim] == 0:
-        return None
-    values = np.sort(points[:, dim])
-    at = int(values[(len(values) - 1) // 2])
-    if at == values[-1]:  # the upper side would be empty
-        at = int(values[values < at][-1])
-    elif (above := int(np.searchsorted(values, at, "right"))) * 2 > len(values) and (below := values[values < at]).size and abs(2 * len(below) - len(values)) < abs(2 * above - len(values)):
-        at = int(below[-1])
-    return dim, at
-
-
 def _matrix(words: list[str], size: int) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), size)
 
@@ -155,42 +167,116 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return front + back >= n
 
 
-def near_pairs(points: list[str], queries: list[str], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, point) that differ by one edit. Points have ``n`` letters, queries all ``n`` or all ``n - 1``."""
-    size = len(queries[0])
-    radius = 2 if size == n else 1
-    half = n // 2
-    at, to = count_vectors(points, np.full(len(points), half)), count_vectors(queries, np.full(len(queries), half))
-    letters, of_query = _matrix(points, n), _matrix(queries, size)
-    open_ = [(np.arange(len(points)), np.arange(len(queries)))]
-    while open_:
-        here, asked = open_.pop()
-        asked = asked[_beyond(to[asked], at[here].min(axis=0), at[here].max(axis=0), radius)]
-        if not len(asked):
-            continue
-        if len(here) > LEAF and (cut := _cut(at[here])) is not None:
-            low = at[here, cut[0]] <= cut[1]
-            open_ += [(here[low], asked), (here[~low], asked)]
-            continue
-        step = max(1, (1 << 16) // len(here))
-        for i in range(0, len(asked), step):
-            part = asked[i : i + step]
-            off = np.abs(to[part][:, None, :DIMS] - at[here][None, :, :DIMS]).sum(axis=2)
-            q, p = np.nonzero(off <= radius)
-            q, p = part[q], here[p]
-            for j in range(0, len(q), max(1, (1 << 22) // max(n, 1))):
-                some = slice(j, j + max(1, (1 << 22) // max(n, 1)))
-                near = _one_edit(of_query[q[some]], letters[p[some]])
-                yield q[some][near], p[some][near]
+class _Tree:
+    """A k-d tree over codes, as arrays: each node's box, size, children (-1: a leaf) and members.
+
+    All nodes of a level are cut at once. Points that agree in all coordinates
+    are cut by number, so no leaf has more than LEAF.
+    """
+
+    def __init__(self, codes: np.ndarray):
+        bits = _bits(codes)
+        levels, members = [], []
+        rows, first, nodes, leaves = np.arange(len(codes)), np.zeros(1, np.int64), 0, 0
+        while len(first):
+            size = np.diff(np.append(first, len(rows)))
+            here = codes[rows]
+            wide = size > LEAF
+            left = np.full(len(size), -1)
+            left[wide] = nodes + len(size) + 2 * np.arange(wide.sum())
+            leaf_of = np.full(len(size), -1)
+            leaf_of[~wide] = leaves + np.arange((~wide).sum())
+            levels.append((np.bitwise_and.reduceat(here, first, axis=0), np.bitwise_or.reduceat(here, first, axis=0), size, left, leaf_of))
+            node = np.repeat(np.arange(len(size)), size)
+            place = np.arange(len(rows)) - first[node]
+            done = ~wide[node]
+            some = np.full(((~wide).sum(), LEAF), -1)
+            some[leaf_of[node[done]] - leaves, place[done]] = rows[done]
+            members.append(some)
+            nodes, leaves = nodes + len(size), leaves + len(some)
+            rows, place, size = rows[~done], place[~done], size[wide]
+            if not len(rows):
+                break
+            node = np.repeat(np.arange(len(size)), size)
+            some = bits[rows]
+            have = np.add.reduceat(some, np.cumsum(size) - size, axis=0, dtype=np.int32)
+            best = np.argmin(np.abs(2 * have - size[:, None]), axis=1)
+            most = have[np.arange(len(size)), best]
+            more = np.where(((most > 0) & (most < size))[node], some[np.arange(len(rows)), best[node]], place % 2)
+            child = 2 * node + more
+            rows = rows[np.argsort(child, kind="stable")]
+            counts = np.bincount(child, minlength=2 * len(size))
+            first = np.cumsum(counts) - counts
+        self.low, self.high, self.size, self.left, self.leaf_of = (np.concatenate(x) for x in zip(*levels))
+        self.right = np.where(self.left < 0, -1, self.left + 1)
+        self.members = np.concatenate(members)
+
+
+def _box_pairs(points: _Tree, queries: _Tree, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of leaves (of queries, of points) whose boxes are in range of each other."""
+    todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while todo:
+        q, p = todo.pop()
+        near = _differ((points.low[p] & ~queries.high[q]) | (queries.low[q] & ~points.high[p])) <= radius
+        q, p = q[near], p[near]
+        q_leaf, p_leaf = queries.leaf_of[q], points.leaf_of[p]
+        ends = (q_leaf >= 0) & (p_leaf >= 0)
+        if ends.any():
+            yield q_leaf[ends], p_leaf[ends]
+        q, p, q_leaf, p_leaf = q[~ends], p[~ends], q_leaf[~ends], p_leaf[~ends]
+        by_point = (q_leaf >= 0) | ((p_leaf < 0) & (points.size[p] >= queries.size[q]))
+        deeper_q = np.concatenate([q[by_point], q[by_point], queries.left[q[~by_point]], queries.right[q[~by_point]]])
+        deeper_p = np.concatenate([points.left[p[by_point]], points.right[p[by_point]], p[~by_point], p[~by_point]])
+        todo += [(deeper_q[i : i + STEP], deeper_p[i : i + STEP]) for i in range(0, len(deeper_q), STEP)]
+
+
+class Cell:
+    """Points of ``n`` letters, ready to be searched."""
+
+    def __init__(self, points: list[str], n: int):
+        self.n = n
+        self.letters, self.codes = _matrix(points, n), count_codes(points, n // 2)
+        self.tree, self.columns = _Tree(self.codes), self.codes.T.copy()
+
+    def _in_reach(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, point) of codes within ``radius``: all queries are searched at once, by a tree of their own."""
+        tree, columns = _Tree(queries), queries.T.copy()
+        step = max(1, STEP // LEAF**2)
+        for q_leaf, p_leaf in _box_pairs(self.tree, tree, radius):
+            for i in range(0, len(q_leaf), step):
+                q, p = tree.members[q_leaf[i : i + step]], self.tree.members[p_leaf[i : i + step]]
+                off = np.bitwise_count(columns[0][q][:, :, None] ^ self.columns[0][p][:, None, :])
+                off += np.bitwise_count(columns[1][q][:, :, None] ^ self.columns[1][p][:, None, :])
+                hit = np.flatnonzero(off.ravel() <= radius)
+                a, b = q.ravel()[hit // LEAF], p[hit // LEAF**2, hit % LEAF]
+                some = (a >= 0) & (b >= 0)
+                yield a[some], b[some]
+
+    def near(self, queries: list[str], role: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, point) that differ by one edit. Queries have as many letters (SAME), or one
+        less and are cut before (EARLY) or after (LATE) the place where the points are. LATE leaves
+        out the pairs that EARLY finds."""
+        if not queries:
+            return
+        n, texts = self.n, _matrix(queries, self.n - (role != SAME))
+        early = count_codes(queries, n // 2 - 1) if role == LATE else None
+        step = max(1, (1 << 22) // max(n, 1))
+        for q, p in self._in_reach(count_codes(queries, n // 2 - (role == EARLY)), 2 if role == SAME else 1):
+            if early is not None:
+                new = _differ(early[q] ^ self.codes[p]) > 1
+                q, p = q[new], p[new]
+            for i in range(0, len(q), step):
+                a, b = q[i : i + step], p[i : i + step]
+                near = _one_edit(texts[a], self.letters[b])
+                yield a[near], b[near]
 
 
 _BEST = "word string, n_near long, best_n long, best string"
 _BEST_NAMES = ["word", "n_near", "best_n", "best"]
 
 
-def _best(words: list[str], near: list[np.ndarray], others: list[np.ndarray], other_words: list[str], other_n: np.ndarray) -> pa.RecordBatch:
-    """For each word with near words: how many, and the one of largest n (ties: the smallest)."""
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (near, others))
+def _best(words: list[str], a: np.ndarray, b: np.ndarray, other_words: list[str], other_n: np.ndarray) -> pa.RecordBatch:
+    """For each word a with near words b: how many, and the one of largest n (ties: the smallest)."""
     rank = np.empty(len(other_words), np.int64)
     rank[sorted(range(len(other_words)), key=other_words.__getitem__)] = np.arange(len(other_words))
     order = np.lexsort((rank[b], -other_n[b], a))
@@ -206,18 +292,18 @@ def _join_cell(group: pa.Table) -> pa.Table:
     word, n, size = (group[c].to_pylist() for c in ("word", "n", "size"))
     role = group["role"].to_numpy()
     out = [pa.RecordBatch.from_pylist([], pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("best_n", pa.int64()), ("best", pa.string())]))]
-    of_point = np.flatnonzero(role == 0)
-    for kind in (1, 2):
+    of_point = np.flatnonzero(role == POINT)
+    points, n_points = [word[i] for i in of_point], np.array([n[i] for i in of_point], np.int64)
+    cell = Cell(points, size[of_point[0]]) if points else None
+    for kind in (SAME, EARLY, LATE):
         of_query = np.flatnonzero(role == kind)
-        if not len(of_point) or not len(of_query):
-            continue
-        points, queries = [word[i] for i in of_point], [word[i] for i in of_query]
-        n_points, n_queries = (np.array([n[i] for i in x], np.int64) for x in (of_point, of_query))
-        found = list(near_pairs(points, queries, size[of_point[0]]))
-        q, p = [x for x, _ in found], [x for _, x in found]
-        out.append(_best(queries, q, p, points, n_points))
-        if kind == 2:  # words of different lengths meet once: the longer one is told as well
-            out.append(_best(points, p, q, queries, n_queries))
+        queries, n_queries = [word[i] for i in of_query], np.array([n[i] for i in of_query], np.int64)
+        found = list(cell.near(queries, kind)) if cell else []
+        if found:
+            q, p = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+            out.append(_best(queries, q, p, points, n_points))
+            if kind != SAME:  # words of different lengths meet once: the longer one is told as well
+                out.append(_best(points, p, q, queries, n_queries))
     return pa.Table.from_batches(out)
 
 
@@ -236,17 +322,17 @@ def near_words(words: DataFrame) -> DataFrame:
             for n in np.unique(sizes):
                 rows = np.flatnonzero(sizes == n)
                 mine = [word[i] for i in rows]
-                own = count_vectors(mine, np.full(len(mine), n // 2))
-                longer = count_vectors(mine, np.full(len(mine), (n + 1) // 2))
-                for role, length, vectors, radius in ((0, n, own, 0), (1, n, own, 2), (2, n + 1, longer, 1)):
-                    row, cell = trees.cells(int(length), vectors, radius)
+                at, longer = int(n) // 2, (int(n) + 1) // 2
+                for role, length, split, radius in ((POINT, n, at, 0), (SAME, n, at, 2), (EARLY, n + 1, longer - 1, 1), (LATE, n + 1, longer, 1)):
+                    codes = count_codes(mine, split)
+                    row, cell = trees.cells(int(length), codes, radius)
                     take = pa.array(rows[row])
                     k = len(row)
                     columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(k, role, np.int32)), pa.array(np.full(k, length, np.int32)), pa.array(cell, pa.int32())]
                     yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "role", "size", "cell"])
 
     dealt = table(words.select("word", "n").mapInArrow(deal, "word string, n long, role int, size int, cell int"))
-    point = F.col("role") == 0
+    point = F.col("role") == POINT
     letters = F.col("size").cast("long") + 1
     pieces = dealt.groupBy("size", "cell").agg(
         F.ceil(F.coalesce(F.sum(F.when(point, letters)), F.lit(0)) / PIECE_LETTERS).alias("points"),

@@ -14,7 +14,7 @@ from paysift.llm import bytesx, periodic_runs, spelling_groups
 from paysift.llm.periodic_runs import collapse_runs, find_runs, inverse_ntt, ntt, zero_mismatches
 from paysift.llm.quality_rules import apply_rules, without_lines
 from paysift.llm.queries import op11_periodic_runs, op12_quality_rules, op13_spelling_groups
-from paysift.llm.spelling_groups import group_spellings, near_pairs, word_counts
+from paysift.llm.spelling_groups import Cell, group_spellings, word_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -285,9 +285,9 @@ def test_spelling_groups_equal_brute_force(spark, monkeypatch, sample, cell, pie
 def test_near_pairs_by_length():
     rng = random.Random(2)
     points = sorted({"".join(rng.choice("abc") for _ in range(8)) for _ in range(900)})
-    for size in (8, 7):
+    for size, roles in ((8, (spelling_groups.SAME,)), (7, (spelling_groups.EARLY, spelling_groups.LATE))):
         queries = sorted({"".join(rng.choice("abc") for _ in range(size)) for _ in range(300)})
-        got = sorted((queries[q], points[p]) for a, b in near_pairs(points, queries, 8) for q, p in zip(a, b))
+        got = sorted((queries[q], points[p]) for role in roles for a, b in Cell(points, 8).near(queries, role) for q, p in zip(a, b))
         assert got == sorted((q, p) for q in queries for p in points if near(q, p))
 
 
