@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paysift.operators.clean import REASONS, process_form
 from paysift.operators.forms import FormSpec, Rule
 from paysift.operators.unify import UNIFIED_COLUMNS, to_unified
-from paysift.sources.publish import current, new_version, point, pointers, subfolders
+from paysift.sources.publish import current, new_version, point, pointers, remove, subfolders
 
 VERSION = "version"
 _BUCKET = "bucket"
@@ -44,7 +44,17 @@ def merge(spark: SparkSession, base: str, rows: DataFrame, keys: Sequence[str],
     folders = dict(known[0][1]) if known else {}
     n = int(folders.pop("buckets", buckets))
     bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int").alias(_BUCKET)
-    new = newest(rows, keys)
+    staged = f"{base}/{new_version(base)}"  # the merge reads its rows several times, but computes them once
+    newest(rows, keys).write.parquet(staged)
+    new = spark.read.schema(rows.schema).parquet(staged)
+    try:
+        return _merge_staged(spark, base, new, keys, folders, n, bucket)
+    finally:
+        remove(spark, staged)
+
+
+def _merge_staged(spark: SparkSession, base: str, new: DataFrame, keys: Sequence[str], folders: dict[str, str], n: int, bucket: Column) -> list[int]:
+    columns = new.columns
     if folders:
         new = _higher(spark, base, folders, new, keys, bucket)
         touched = [r[0] for r in new.select(bucket).distinct().collect()]  # at most n numbers
@@ -52,9 +62,9 @@ def merge(spark: SparkSession, base: str, rows: DataFrame, keys: Sequence[str],
             return []
         have = [f"{base}/{folders[str(b)]}" for b in touched if str(b) in folders]
         if have:
-            new = newest(new.unionByName(spark.read.parquet(*have).select(*rows.columns)), keys)
+            new = newest(new.unionByName(spark.read.parquet(*have).select(*columns)), keys)
     version = new_version(base)
-    new.select(*rows.columns, bucket).write.partitionBy(_BUCKET).parquet(f"{base}/{version}")
+    new.select(*columns, bucket).write.partitionBy(_BUCKET).parquet(f"{base}/{version}")
     written = sorted(int(name.split("=")[1]) for name in subfolders(spark, f"{base}/{version}") if name.startswith(f"{_BUCKET}="))
     folders.update({str(b): f"{version}/{_BUCKET}={b}" for b in written})
     if written:

@@ -60,6 +60,11 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.delete(folder, True)
+
+
 def new_version(base: str) -> str:
     """A folder that no publication has yet, relative to ``base``."""
     return f"{VERSIONS}/{uuid.uuid4().hex}"
