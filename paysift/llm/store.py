@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import gc
-import re
 import tempfile
 import uuid
 
-import pyarrow as pa
-import pyarrow.dataset as ds
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -66,16 +62,5 @@ def drop(df: DataFrame) -> None:
     _files(spark, folder).delete(folder, True)
 
 
-def read_arrow(path: str, schema: pa.Schema) -> pa.Table:
-    """What :func:`table` wrote to ``path``, read in this process (a Python worker, say) without Spark.
-
-    Takes the folders that Arrow reaches: local and mounted ones, HDFS, S3, GCS, ABFS.
-    """
-    if local := re.fullmatch(r"(?:file:(?://)?)?(/.*)", path):
-        return ds.dataset(local[1], schema=schema, format="parquet").to_table()
-    files, inner = pyarrow.fs.FileSystem.from_uri(path)
-    return ds.dataset(inner, schema=schema, format="parquet", filesystem=files).to_table()
-
-
 def _files(spark: SparkSession, folder):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

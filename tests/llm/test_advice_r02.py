@@ -10,14 +10,13 @@ from paysift.llm.sentence_dedup import remove_repeated_sentences
 
 def test_language_model_keeps_rare_words(spark):
     """9,000 words of one language, each seen once beside common ones: all are known."""
-    assert (language_id.MAX_WORDS, language_id.MAX_GRAMS) == (50_000, 20_000)
     letters = "abcdefghijklmnopqrst"
     name = lambda i: "".join(letters[i // 20**k % 20] for k in range(4))
     rows = [(i, " ".join(f"{name(j)}x" for j in range(30 * i, 30 * i + 30)), "aa", "s") for i in range(400)] + [(1000 + i, "common words of another one", "bb", "s") for i in range(30)]
     model = language_id.train(frame(spark, rows))
     words = {w for d, t, lang, _ in rows for w in t.split() if not spark_held(d)}
-    assert len(words) > 8_000 and words == set(model.tables[0])
-    assert len(model.tables[4]) > 4_000  # beyond the former 2,000 per language
+    assert len(words) > 8_000 and all(map(model.knows, words)) and (model.kinds == 0).sum() == len(words)
+    assert (model.kinds == 4).sum() == len({g for w in words for g in language_id.grams(w, 4)}) > 4_000
 
 
 def spark_held(d):
@@ -33,7 +32,7 @@ def test_rare_language_is_learned_whole(spark):
     model = language_id.train(frame(spark, rows), sample_rows=40)
     assert model.langs == ["big", "rare"]
     words = {w for d, t, lang, _ in rows if lang == "rare" and not spark_held(d) for w in t.split()}
-    assert words <= set(model.tables[0])
+    assert all(map(model.knows, words))
     got = language_id.identify(frame(spark, rows), sample_rows=40).where("doc_id >= 10000").collect()
     assert {r["lang_pred"] for r in got} == {"rare"}
 
