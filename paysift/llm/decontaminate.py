@@ -1,9 +1,10 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The automaton holds every window of ten consecutive words of the benchmark's
-normalised questions and answers (a shorter item is one window). A document is
-normalised the same way and scanned once; each match marks its words, whose
-offsets are mapped back to the original text.
+normalised questions and answers (a shorter item is one window). Its letters are
+the numbers of the benchmark's words, so it has a node for a word, not for a
+character. A document is normalised the same way and scanned once; each match
+marks its words, whose offsets are mapped back to the original text.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from paysift.llm.store import table
 
 WINDOW = 10
-#: Bytes of benchmark text in one automaton; a larger benchmark is scanned for in several.
-AUTOMATON_BYTES = 32 << 20
+#: Words of benchmark text in one automaton; a larger benchmark is scanned for in several. Each word
+#: is the start of a window, so these are up to ten times as many nodes, of about 60 bytes.
+AUTOMATON_WORDS = 100_000
 _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 #: Bytes of words stay (A-Z as a-z), all others become a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -43,19 +44,30 @@ def windows_of(text: str | None, size: int = WINDOW) -> set[str]:
     return {f" {b' '.join(words[i : i + size]).decode()} " for i in range(len(words) - size + 1)} if words else set()
 
 
-def automaton(items: list[tuple[str | None, str | None]], size: int = WINDOW):
+class Machine:
+    """Automaton over windows (words between single spaces) and the items that have each of them."""
+
+    def __init__(self, owners: dict[str, set]):
+        self.words: dict[bytes, int] = {}
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for key, of in owners.items():
+            window = tuple(self.words.setdefault(w, len(self.words) + 1) for w in key.encode().split())
+            self.found.add_word(window, (len(window), tuple(x for x in of if x is not None)))
+        self.found.make_automaton()
+
+    def matches(self, words: list[bytes]) -> list[tuple[int, tuple[int, tuple[str, ...]]]]:
+        """(last word, (words, items)) of each occurrence; 0 is no word of any window."""
+        numbers = tuple(self.words.get(w, 0) for w in words)
+        return list(self.found.iter(numbers)) if any(numbers) else []
+
+
+def automaton(items: list[tuple[str | None, str | None]], size: int = WINDOW) -> Machine | None:
     """Automaton over the windows of (item_id, text); None if there are none."""
     owners: dict[str, set] = {}
     for item, text in items:
         for key in windows_of(text, size):
             owners.setdefault(key, set()).add(item)
-    if not owners:
-        return None
-    found = ahocorasick.Automaton()
-    for key, of in owners.items():
-        found.add_word(key, (key.count(" ") - 1, tuple(x for x in of if x is not None)))
-    found.make_automaton()
-    return found
+    return Machine(owners) if owners else None
 
 
 def merged_runs(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -74,12 +86,10 @@ def scan(text: str | None, machine) -> tuple[int, list[tuple[int, int]], set[str
     words = words_of(text)
     if machine is None or not words:
         return len(words), [], set()
-    line = f" {b' '.join(words).decode()} "
-    matches = list(machine.iter(line))
+    matches = machine.matches(words)
     if not matches:
         return len(words), [], set()
-    spaces = np.cumsum(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
-    runs = merged_runs([(int(spaces[end]) - 1 - k, int(spaces[end]) - 2) for end, (k, _) in matches])
+    runs = merged_runs([(last - k + 1, last) for last, (k, _) in matches])
     return len(words), runs, {x for _, (_, of) in matches for x in of}
 
 
@@ -111,18 +121,19 @@ def _row(n_words: int, runs: list[tuple[int, int]], items: list[str], spans: lis
     return {"n_words": n_words, "n_hit": sum(b - a + 1 for a, b in runs), "items": items, "spans": [{"start": a, "end": b} for a, b in spans], "hits": []}
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+def with_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
     """``docs`` as (row: all its columns, hit: struct with n_words, n_hit, items, spans).
 
-    The benchmark's bytes are counted first. Up to ``automaton_bytes`` of it are
+    The benchmark's words are counted first. Up to ``automaton_words`` of them are
     broadcast as one automaton; a larger one is dealt by hash into parts of
     about that size, the documents are scanned once for each part, and the
     parts' hits are merged in a written table.
     """
     spark = docs.sparkSession
     items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    parts = -(-total // automaton_bytes) or 1
+    counted = F.size(F.regexp_extract_all("text", F.lit(r"([0-9A-Za-z\x{80}-\x{10FFFF}]+)"), F.lit(1)))
+    total = items.agg(F.sum(counted.cast("long")).alias("n")).first()["n"] or 0
+    parts = -(-total // automaton_words) or 1
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     deal = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     part = lambda k: [tuple(r) for r in (items if parts == 1 else items.where(deal == k)).collect()]
@@ -152,7 +163,7 @@ def _merged(text, hits, items):
     return run(text, hits, items).dropFields("hits")
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans) for every row of ``docs``.
 
     ``spans`` are the hit runs as offsets of the original text (code points).
@@ -161,7 +172,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
     that repeat an item_id count once. Repeated documents are returned each;
     an empty table gives no rows, an empty benchmark no hits.
     """
-    out = with_hits(docs, benchmark, size, automaton_bytes).select("row.doc_id", "hit.*")
+    out = with_hits(docs, benchmark, size, automaton_words).select("row.doc_id", "hit.*")
     return out.select(
         "doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans",

@@ -336,18 +336,26 @@ def planted():
     return [(70_000, "Before, " + t.upper().replace(" ", " -- ") + " after", None, None), (70_001, "É Été; été été", None, None), (70_002, t + " " + t, None, None), (70_003, " ".join(t.split()[:9]), None, None)]
 
 
-@pytest.mark.parametrize("automaton_bytes", [32 << 20, 2_000])
-def test_contamination_equals_brute_force(spark, automaton_bytes):
+@pytest.mark.parametrize("automaton_words", [100_000, 300])
+def test_contamination_equals_brute_force(spark, automaton_words):
     """Also with a benchmark that takes several automata."""
     rows = documents() + edge_rows() + planted()
     items = spark.createDataFrame(bench_items(), "item_id long, text string").selectExpr("*", "1 as row", "2 as hit")
-    got = decontaminate.find_contamination(frame(spark, rows, clash=True), items, automaton_bytes=automaton_bytes)
+    got = decontaminate.find_contamination(frame(spark, rows, clash=True), items, automaton_words=automaton_words)
     assert rows_of(got.drop("spans")) == brute_hits(rows, bench_items())
     for r in got.where("doc_id = 70000").collect():
         text = planted()[0][1]
         assert [norm(text[s["start"] : s["end"]]) for s in r["spans"]] == [norm(bench_items()[2][1])]
 
 
+def test_automaton_has_a_node_for_a_word():
+    rng = random.Random(1)
+    items = [(str(i), " ".join(f"w{rng.randint(0, 9_000)}" for _ in range(200))) for i in range(100)]
+    machine = decontaminate.automaton(items)
+    assert machine.found.get_stats()["nodes_count"] <= 10 * 200 * 100 + 1
+    assert decontaminate.scan("x " + items[7][1] + " y", machine) == (202, [(1, 200)], {"7"})
+
+
 def test_contamination_edges(spark):
     items = spark.createDataFrame(bench_items(), "item_id long, text string")
     assert decontaminate.find_contamination(empty(spark), items).collect() == []
