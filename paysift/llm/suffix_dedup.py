@@ -112,7 +112,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                     names=["gram", "context", "doc_id", "th", "first", "before", "after"],
                 )
 
-    return docs.mapInArrow(run, "gram long, context long, doc_id long, th int, first long, before short, after short")
+    return docs.mapInArrow(run, "gram long, context long, doc_id long, th long, first long, before short, after short")
 
 
 class BlindTrie:
@@ -267,7 +267,7 @@ def _edge_spans(rows: DataFrame) -> DataFrame:
         return _runs(repeated_windows(group, before, after), t, first, n_before)
 
     columns = ["gram", "doc_id", "th", "first", "before", "bytes"]
-    return rows.select(*columns).repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "doc_id long, th int, start long, end long")
+    return rows.select(*columns).repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "doc_id long, th long, start long, end long")
 
 
 def _runs(found: np.ndarray, t, first: np.ndarray, n_before: np.ndarray) -> pa.RecordBatch:
@@ -304,7 +304,7 @@ def _hot_spans(rows: DataFrame) -> DataFrame:
             where = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), cols["doc_id"].take(where), cols["th"].take(where), pa.array(start)], names=["h", "doc_id", "th", "start"])
 
-    windows = rows.select("gram", "doc_id", "th", "first", "before", "bytes").mapInArrow(run, "h long, doc_id long, th int, start long")
+    windows = rows.select("gram", "doc_id", "th", "first", "before", "bytes").mapInArrow(run, "h long, doc_id long, th long, start long")
     twice = windows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     return windows.join(twice, "h").select("doc_id", "th", "start", (F.col("start") + WINDOW).alias("end"))
 
@@ -333,7 +333,7 @@ def _with_bytes(docs: DataFrame, rows: DataFrame) -> DataFrame:
                 )
 
     met = docs.join(wanted, ["doc_id", "th"]).select("doc_id", "th", "text", "w")
-    return met.mapInArrow(run, "gram long, hot boolean, doc_id long, th int, first long, before short, bytes binary")
+    return met.mapInArrow(run, "gram long, hot boolean, doc_id long, th long, first long, before short, bytes binary")
 
 
 def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
@@ -363,7 +363,7 @@ def remove_repeats(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     gives no rows.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.hash("text").alias("th"), "text")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     spans = repeated_spans(docs, max_group).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("s"))
 
     def run(batches):
