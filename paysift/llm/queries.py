@@ -17,7 +17,7 @@ from paysift.llm.ngram_jaccard import jaccard_components
 from paysift.llm.periodic_runs import collapse_runs
 from paysift.llm.quality_rules import apply_rules
 from paysift.llm.secrets import scan_secrets
-from paysift.llm.sentence_dedup import remove_repeated_sentences
+from paysift.llm.sentence_dedup import FEW_WORDS, remove_repeated_sentences
 from paysift.llm.spelling_groups import group_spellings, word_counts
 from paysift.llm.suffix_dedup import remove_repeats
 
@@ -82,7 +82,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_sentences(read(spark, sf_dir, "documents"), min_words=0, short=True)
+    return remove_repeated_sentences(read(spark, sf_dir, "documents"), min_words=0, short=True, few_words=FEW_WORDS)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

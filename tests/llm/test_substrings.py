@@ -8,8 +8,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm_fixtures import documents, edge_rows, empty, frame, rows_of
+from pyspark.sql import functions as F
 
-from paysift.llm import suffix_dedup
+from paysift.llm import bytesx, queries, suffix_dedup
 from paysift.llm.sentence_dedup import remove_repeated_sentences
 from paysift.llm.suffix_dedup import SIDE, BlindTrie, deep_shallow, remove_repeats, repeated_windows
 
@@ -180,3 +181,120 @@ def test_sentence_dedup_keeps_the_first(spark):
 
 def test_sentence_dedup_of_empty_table(spark):
     assert remove_repeated_sentences(empty(spark)).collect() == []
+
+
+CLOSERS, WIDE = "\"')]}»›”’」』】）〉》", "。！？｡．।॥؟۔።፧፨՜՞។៕၊။‼⁇⁈⁉…"
+
+
+def registered_sentences(text):
+    """(start, words) of each sentence as the registered query cuts them, character by character."""
+    words, last = [], 0  # start, word, ends a sentence
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        if words and "\n" in text[last : m.start()]:
+            words[-1][2] = True
+        begin = i = m.start()
+        while i < m.end():
+            i += 1
+            if text[i - 1] in WIDE:
+                while i < m.end() and text[i] in CLOSERS + WIDE:
+                    i += 1
+                words.append([begin, text[begin:i], True])
+                begin = i
+        if begin < m.end():
+            words.append([begin, text[begin : m.end()], False])
+        bare = words[-1][1].rstrip(CLOSERS)
+        words[-1][2] |= bool(bare) and bare[-1] in ".!?" + WIDE
+        last = m.end()
+
+    def stretches():
+        out = [[]]
+        for w in words:
+            out[-1].append(w)
+            if w[2]:
+                out.append([])
+        return [s for s in out if len(s) >= 50]
+
+    for s in stretches():
+        for w in s:
+            raw = np.frombuffer(w[1].encode(), np.uint8)
+            h = bytesx.span_hash(bytesx.running_hash(bytesx.LOWER_VALUE[raw]), np.array([0]), np.array([len(raw)]))[0]
+            w[2] |= int(h) % 8 == 0
+    for s in stretches():
+        for w in s[49::50]:
+            w[2] = True
+    out = [[]]
+    for w in words:
+        out[-1].append(w)
+        if w[2]:
+            out.append([])
+    return [(s[0][0], [w.translate(LOWER) for _, w, _ in s]) for s in out if s]
+
+
+def brute_registered(rows, span=3, few=20):
+    docs = {(d if d is not None else -(1 << 63), t or "") for d, t, *_ in rows}
+    parts = {k: registered_sentences(k[1]) for k in docs}
+    places = defaultdict(list)
+    for k, s in parts.items():
+        for size in range(1, span + 1):
+            for i in range(len(s) - size + 1):
+                words = tuple(w for _, x in s[i : i + size] for w in x)
+                if size == span or len(words) >= few or size == len(s):
+                    places[words].append((k[0], i, size, k))
+    gone = defaultdict(set)
+    for where in places.values():
+        first = min(where, key=lambda x: x[:2])
+        for d, i, size, k in where:
+            if (d, i, size, k) != first:
+                gone[k] |= set(range(i, i + size))
+    out = {}
+    for d, t, *_ in rows:
+        k = (d if d is not None else -(1 << 63), t or "")
+        cut = [a for a, _ in parts[k]] + [len(k[1])]
+        out[d, k[1]] = (len(parts[k]), len(gone[k]), k[1] if not gone[k] else k[1][: cut[0]] + "".join(k[1][a:b] for i, (a, b) in enumerate(zip(cut, cut[1:])) if i not in gone[k]))
+    return out
+
+
+def planted_passages(seed):
+    """Texts without stops, of long sentences and of short ones, some of which share a passage of over 50 words."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 4)))
+
+    def prose(n, mean):
+        return [word() + (rng.choice([".", "!", '."', "?)", ". "]) if mean and rng.random() < 1 / mean else "") for _ in range(n)]
+
+    rows = []
+    for mean in (0, 5, 25):
+        passages = [prose(70, mean) for _ in range(3)]
+        for i in range(24):
+            body = [prose(rng.randint(30, 90), mean), *([passages[i % 3]] if i % 2 else []), prose(rng.randint(30, 90), mean)]
+            rows.append((40_000 + len(rows), " ".join(w for part in body for w in part), "en", str(bool(i % 2))))
+    return rows + [(50_000 + i, "as " * (120 + 31 * i), "en", None) for i in range(4)] + [(60_000 + i, "今天天气很好。我们去公园。「你好。」她说。" + str(i), "zh", None) for i in range(3)]
+
+
+def test_registered_sentence_dedup_equals_brute_force(spark, tmp_path):
+    rows = documents() + edge_rows() + planted_passages(8)
+    frame(spark, rows, True).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_sentence_dedup(spark, str(tmp_path)).collect()
+    want = brute_registered(rows)
+    texts = {d: t or "" for d, t, *_ in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["n_sentences"], r["n_removed"], r["kept"]) == want[r["doc_id"], texts[r["doc_id"]]], r["doc_id"]
+
+
+def test_passages_in_texts_without_stops_are_caught(spark):
+    rows = planted_passages(9)
+    got = {r["doc_id"]: r["n_removed"] for r in remove_repeated_sentences(frame(spark, rows), min_words=0, short=True, few_words=20).collect()}
+    later = [(d, s) for d, _, _, s in rows[:72] if (d - 40_000) % 24 >= 6]
+    caught, clean = [got[d] > 0 for d, s in later if s == "True"], [got[d] == 0 for d, s in later if s == "False"]
+    assert sum(caught) >= 0.95 * len(caught) and all(clean)
+
+
+def test_texts_without_ids_are_told_apart(spark):
+    """Two texts without a doc_id whose 32-bit hashes agree: one repeats a document, the other nothing."""
+    ids = spark.range(300_000).selectExpr("concat(sha2(cast(id as string), 512), sha2(concat('b', id), 512)) as t").selectExpr("t", "hash(t) as h")
+    pair = ids.groupBy("h").agg(F.sort_array(F.collect_list("t")).alias("ts")).where("size(ts) > 1").orderBy("h").first()
+    one, two = pair.ts[:2]
+    rows = [(None, one, None, None), (None, two, None, None), (5, one + " and a tail", None, None)]
+    got = sorted((r["n_bytes"], r["n_removed"], bytes(r["kept"]).decode()) for r in remove_repeats(frame(spark, rows)).collect())
+    assert got == sorted([(256, 256, ""), (256, 0, two), (267, 256, " and a tail")])
