@@ -16,8 +16,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from paysift.llm.store import table
+
 #: The patterns of the three base kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -109,20 +112,36 @@ def find_secrets(text: str | None, ranks: dict[str, int], min_cost: float = MIN_
     spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    known = list(spans)
+    known = sorted((a, b) for a, _, b in spans)
+    at, reach = 0, 0  # how far the base spans reach that begin before the value's end
     for m in CONTEXT.finditer(text):
         value = m["value"].rstrip(".!?)]}")
         start, end = m.start("value"), m.start("value") + len(value)
-        if len(value) >= 6 and not any(a < end and start < b for a, _, b in known) and guess_cost(value, ranks) >= min_cost:
+        while at < len(known) and known[at][0] < m.end("value"):
+            if known[at][0] >= end:  # it begins in what was taken off the value
+                break
+            reach = max(reach, known[at][1])
+            at += 1
+        if len(value) >= 6 and reach <= start and guess_cost(value, ranks) >= min_cost:
             spans.append((start, 3, end))
     return sorted(spans)
 
 
 def learn_words(docs: DataFrame, max_words: int = MAX_WORDS) -> dict[str, int]:
-    """Word -> rank: the common guesses, then the most frequent words of all of ``docs``, counted before the shuffle."""
+    """Word -> rank: the common guesses, then the most frequent words of all of ``docs``, counted before the shuffle.
+
+    The list takes all words of a count, or none: those of the highest counts,
+    as long as they are ``max_words`` at most. So the driver gets these words and
+    nothing else, however many partitions the counts have.
+    """
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,24})"), F.lit(1))).alias("w"))
-    top = words.groupBy("w").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "w").limit(max_words).collect()
-    return {w: i + 1 for i, w in enumerate(dict.fromkeys([*COMMON, *(r["w"] for r in top)]))}
+    counts = table(words.groupBy("w").agg(F.count("*").alias("c")))
+    # words per count: the distinct counts of n words are fewer than the root of twice their sum
+    above = W.orderBy(F.desc("c")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    sizes = counts.groupBy("c").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(above))
+    least = sizes.where(F.col("upto") <= max_words).agg(F.min("c")).first()[0]
+    top = [r.w for r in counts.where(F.col("c") >= least).orderBy(F.desc("c"), "w").collect()] if least is not None else []
+    return {w: i + 1 for i, w in enumerate(dict.fromkeys([*COMMON, *top]))}
 
 
 def _joined(spans) -> str:
