@@ -12,10 +12,15 @@ edit distance, :func:`standardise_as_of` keys whose values change over time.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: A piece that more keys share is not looked up by itself (see :func:`closest_keys`).
+MANY = 256
+
 
 def standardise(
     df: DataFrame,
@@ -48,7 +53,27 @@ def _range(low: int, high: int) -> Column:
     return F.explode(F.array(*[F.lit(i) for i in range(low, high + 1)]))
 
 
-def closest_keys(values: DataFrame, keys: DataFrame, distance: int) -> DataFrame:
+def _shorter(rows: DataFrame, letters: int) -> DataFrame:
+    """Rows whose ``text`` lost ``letters`` letters, in every way that gives another text (a shorter text is
+    then empty). Of a run of equal letters the last one goes, and letters go from left to right."""
+    out = rows.withColumn("first", F.lit(1))
+    for _ in range(letters):
+        n = F.length("text")
+        out = out.withColumn("at", F.explode(F.when(n > 0, F.sequence("first", n)).otherwise(F.array(F.lit(0)))))
+        out = out.where("at = length(text) or substring(text, at, 1) <> substring(text, at + 1, 1)")
+        left = F.when(F.col("at") == 0, "").otherwise(F.expr("concat(substring(text, 1, at - 1), substring(text, at + 1))"))
+        out = out.withColumn("text", left).withColumn("first", F.greatest(F.col("at") - 1, F.lit(1)))
+    return out
+
+
+def _by_letters_left(rows: DataFrame, name: str, lost: Column, distance: int) -> DataFrame:
+    """(name, left): a hash of each text that is left of ``name`` when it loses ``lost`` letters, with its size and ``longer``."""
+    rows = rows.withColumn("text", F.col(name)).withColumn("lost", lost)
+    levels = [_shorter(rows.where(F.col("lost") == n), n).select(name, F.xxhash64("size", "longer", "text").alias("left")) for n in range(distance + 1)]
+    return reduce(DataFrame.unionByName, levels)
+
+
+def closest_keys(values: DataFrame, keys: DataFrame, distance: int, many: int = MANY) -> DataFrame:
     """(value, key, distance): for each of the distinct ``values`` (value) within ``distance``
     edits of any of the distinct ``keys`` (key), the nearest key; ties: the smallest.
 
@@ -58,19 +83,37 @@ def closest_keys(values: DataFrame, keys: DataFrame, distance: int) -> DataFrame
     places at most. A value is therefore looked up with its substrings at all
     these places, for every key length within reach, in an equi-join on (key
     length, piece number, piece); each pair met is then measured.
+
+    A piece that more than ``many`` keys share (``Custom`` of ``Customer#000000123``)
+    would meet all of them. Values and keys with such a piece meet by the letters that
+    edits leave instead: if a key is ``longer`` than a value by d letters (d may be
+    negative) and within k edits of it, some text is left both when the key loses
+    k + min(d, 0) letters and when the value loses k - max(d, 0). That join is exact
+    too, and meets few pairs but near ones.
     """
     pieces = distance + 1
     dealt = keys.select("key", F.length("key").alias("size"), _range(0, distance).alias("i"))
     start, length = _piece(F.col("size"), F.col("i"), pieces)
     dealt = dealt.select("key", "size", "i", F.substring("key", start + 1, length).alias("piece"))
 
-    asked = values.select("value", _range(-distance, distance).alias("longer")).select("value", (F.length("value") + F.col("longer")).alias("size"))
-    asked = asked.where("size >= 0").select("value", "size", _range(0, distance).alias("i")).select("*", _range(-distance, distance).alias("moved"))
+    asked = values.select("value", _range(-distance, distance).alias("longer")).select("value", "longer", (F.length("value") + F.col("longer")).alias("size"))
+    asked = asked.where("size >= 0").select("value", "longer", "size", _range(0, distance).alias("i")).select("*", _range(-distance, distance).alias("moved"))
     start, length = _piece(F.col("size"), F.col("i"), pieces)
     at = start + F.col("moved")
-    asked = asked.where((at >= 0) & (at + length <= F.length("value"))).select("value", "size", "i", F.substring("value", at + 1, length).alias("piece")).distinct()
+    asked = asked.where((at >= 0) & (at + length <= F.length("value"))).select("value", "longer", "size", "i", F.substring("value", at + 1, length).alias("piece")).distinct()
+
+    on = ["size", "i", "piece"]
+    shared = dealt.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).drop("n")
+    rare = asked.join(shared, on, "left_anti").join(dealt, on).select("value", "key")
+
+    common = asked.join(shared, on, "left_semi").select("value", "size", "longer").distinct()
+    reached = dealt.join(shared, on, "left_semi").select("key", "size").distinct().join(common.select("size", "longer").distinct(), "size")
+    zero, longer = F.lit(0), F.col("longer")
+    near = _by_letters_left(common, "value", distance - F.greatest(longer, zero), distance).join(
+        _by_letters_left(reached, "key", distance + F.least(longer, zero), distance), "left"
+    )
 
-    met = asked.join(dealt, ["size", "i", "piece"]).select("value", "key", F.levenshtein("value", "key", distance).alias("distance"))
+    met = rare.unionByName(near.select("value", "key")).select("value", "key", F.levenshtein("value", "key", distance).alias("distance"))
     best = met.where("distance >= 0").groupBy("value").agg(F.min(F.struct("distance", "key")).alias("one"))
     return best.select("value", F.col("one.key").alias("key"), F.col("one.distance").alias("distance"))
 

@@ -172,6 +172,41 @@ def test_blocks_lose_no_pair(spark, distance):
     assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
 
 
+@pytest.mark.parametrize("distance", [1, 2, 3])
+@pytest.mark.parametrize("many", [0, 1, 4])
+def test_pieces_that_many_keys_share_lose_no_pair(spark, distance, many):
+    rng = random.Random(distance + 10 * many)
+    keys = sorted({"".join(rng.choice("aab") for _ in range(rng.randint(0, 7))) for _ in range(25)} | {"éa", "aaaaaa", "No#0001", "No#0012", "No#0110"})
+    values = sorted({"".join(rng.choice("aab") for _ in range(rng.randint(0, 8))) for _ in range(25)} | {"éb", "N#001", "Noo#0010", "No#00112", "zzzzzzz"})
+    found = closest_keys(spark.createDataFrame([(v,) for v in values], "value string"), spark.createDataFrame([(k,) for k in keys], "key string"), distance, many=many)
+    want = [(v, k, d) for v in values for d, k in [min((edits(v, k), k) for k in keys)] if d <= distance]
+    assert key(found.collect()) == key(want)
+
+
+def test_one_common_piece_does_not_meet_all_keys(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("key"))
+    values = spark.range(300).select(F.concat(F.lit("Custmer#"), F.lpad((F.col("id") * 7).cast("string"), 8, "0")).alias("value"))
+    found = closest_keys(values, keys, 2)
+    assert found.where("distance = 2").count() == 300
+    joined = []  # rows out of each join of the executed plan
+
+    def walk(node):
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            joined.append(node.metrics().apply("numOutputRows").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.queryExecution().toRdd().count()
+    walk(plan)
+    assert joined and max(joined) < 100_000  # every pair would be 900,000
+
+
 def test_inexact_standardisation_keeps_rows_and_prefers_the_exact_key(spark):
     df = spark.createDataFrame([(1, "londonuk"), (2, "london_uk"), (3, "paris"), (4, None), (5, "londonuk"), (6, "")], "i int, loc string")
     d = spark.createDataFrame([("london_uk", "London/UK"), ("london_uk", "~"), ("londonux", "LX"), (None, "none")], "k string, v string")
