@@ -52,3 +52,16 @@ def test_mean_of_huge_salaries_is_null(spark):
     df = spark.createDataFrame([("DATA", "9" * 36)] * 2, "k string, v string").select("k", F.col("v").cast("decimal(38,2)").alias("v"))
     assert keyword_average(df, "k", "v", ["DATA"], "m").first()["m"] is None
     assert group_stats(df, "k", "v", ("a", "b", "c")).first()["a"] is None
+
+
+def test_strict_query_keeps_rows_whose_date_no_calendar_has(spark, tmp_path):
+    """Year 97 stands for 29 February 1996 in every 89th row; 1997 has no such day."""
+    from paysift.plans.record_queries import q_strict_cast_raise
+
+    days = [(89, "1996-02-29"), (178, "1996-02-28"), (3, "1996-02-29"), (97, "1996-01-01"), (None, "1996-01-01")]
+    orders = spark.createDataFrame([(k, 1, 10.0, d) for k, d in days], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string")
+    orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "BUILDING", 1)], "c_custkey long, c_mktsegment string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "FRANCE")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    got = {r.row_id: r.Created_At and str(r.Created_At.date()) for r in q_strict_cast_raise(spark, str(tmp_path)).collect()}
+    assert got == {89: None, 178: "1997-02-28", 3: "1996-02-29", 97: "1900-01-01", None: "1900-01-01"}
