@@ -85,7 +85,8 @@ def test_a_work_session_has_the_callers_settings_and_leaves_them(spark):
     work = work_session(spark)
     after = work.conf.getAll
     assert spark.conf.getAll == before
-    own = {"spark.sql.codegen.hugeMethodLimit", "spark.sql.maxConcurrentOutputFileWriters"}
+    own = {"spark.sql.codegen.hugeMethodLimit", "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.files.minPartitionNum"}
+    own |= {"spark.sql.adaptive.coalescePartitions.minPartitionNum"}
     assert {k: after.get(k) for k in before if k not in own} == {k: v for k, v in before.items() if k not in own}
     assert work.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
